@@ -37,12 +37,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Ranges:
-    """Hashes of byte ranges of one buffer."""
+    """Hashes of ranges of one buffer of bytes or of 64-bit values."""
 
     def __init__(self, raw: np.ndarray):
         _to(len(raw))
         self.sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_TABLE[raw] * _powers[: len(raw)], out=self.sums[1:])
+        np.cumsum((_TABLE[raw] if raw.dtype == np.uint8 else raw) * _powers[: len(raw)], out=self.sums[1:])
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         h = (self.sums[end] - self.sums[start]) * _inverse[start]

@@ -5,7 +5,7 @@ registered query names to ``(spark, sf_dir) -> DataFrame``; ``ORACLES`` holds
 DuckDB SQL for those that SQL can express.
 """
 
-from . import minhash, mixing, packing, secrets, simhash, substring, topk, toxicity, url_filter
+from . import licenses, minhash, mixing, packing, secrets, simhash, substring, topk, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -15,6 +15,7 @@ QUERIES = {
     "op5_substrings": substring.op5_substrings,
     "op6_simhash": simhash.op6_simhash,
     "op7_secrets": secrets.op7_secrets,
+    "op8_licenses": licenses.op8_licenses,
     "op9_mix": mixing.op9_mix,
     "op10_topk": topk.op10_topk,
 }

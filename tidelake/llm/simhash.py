@@ -21,11 +21,12 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, prepare, table
 from .components import components
+from .hashing import mixed
 
 SEED = 42
 RADIUS = 3
@@ -65,6 +66,12 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, na
     return docs.withColumn(name, F.pandas_udf(run, "long")(F.col(text)))
 
 
+def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits of 64-bit fingerprints, or of rows of several words."""
+    d = np.bitwise_count(a ^ b)
+    return (d.sum(axis=1) if d.ndim > 1 else d).astype(np.int16)
+
+
 def tree_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links (i, j) of the groups that links of at most ``radius`` bits make among distinct fingerprints.
 
@@ -76,7 +83,7 @@ def tree_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     while todo:
         members, askers = todo.pop()
         root = members[0]
-        d = np.bitwise_count(fps[askers] ^ fps[root]).astype(np.int16)
+        d = distance(fps[askers], fps[root])
         near = np.unique(label[askers[d <= radius]])
         near = np.union1d(near, label[[root]])
         if len(near) > 1:
@@ -84,7 +91,7 @@ def tree_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
         if len(members) == 1:
             continue
         below = members[1:]
-        edge = np.bitwise_count(fps[below] ^ fps[root]).astype(np.int16)
+        edge = distance(fps[below], fps[root])
         for e in np.unique(edge):
             come = askers[np.abs(d - e) <= radius]
             if len(come) > 1:  # a child is always its own asker
@@ -199,6 +206,131 @@ def group(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, radius: i
     return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+#: Bits of the wide fingerprint, by which similarity is judged, and the share of close pairs that the shards must bring together.
+WIDE_BITS = 256
+RECALL = 0.99
+_SALTS = np.random.default_rng(7).integers(1, 2**63, WIDE_BITS // 64, dtype=np.uint64)
+
+
+def wide_fingerprint(text: str | None, shingle: int = 5) -> np.ndarray:
+    """WIDE_BITS bits as int64 words, over distinct shingles; all 0 for a text without words."""
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    if not words:
+        return np.zeros(len(_SALTS), np.int64)
+    n = min(shingle, len(words))
+    flat = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    digest = xxhash.xxh64_intdigest
+    h = np.unique(np.array([digest(flat[a:b], SEED) for a, b in zip(starts[: len(words) - n + 1].tolist(), ends[n - 1 :].tolist(), strict=True)], np.uint64))
+    ones = np.zeros(WIDE_BITS, np.int64)
+    for at in range(0, len(h), _STEP):
+        x = np.ascontiguousarray(mixed(h[at : at + _STEP, None] + _SALTS[None, :]))
+        ones += np.unpackbits(x.view(np.uint8).reshape(len(x), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(h), bitorder="little").view(np.int64)
+
+
+def wide_radius(similarity: float) -> int:
+    """Differing bits up to which two texts count as similar: the expected number at that Jaccard
+    similarity of texts of one length, and one and a half standard deviations."""
+    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(np.floor(WIDE_BITS * p + 1.5 * np.sqrt(WIDE_BITS * p * (1 - p))))
+
+
+def near_groups(docs: DataFrame, text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """All columns of ``docs`` and component_id: the least doc_id of the near-duplicates of the row's text.
+
+    A radius of 3 in 64 bits finds nearly equal texts only.  Here similarity is judged by 256 bits, whose
+    radius is too large to split by blocks, so shards are keyed by random choices of bits: so many bits that
+    a shard of unrelated texts stays small, and so many choices that a pair at the threshold shares a shard
+    with probability RECALL.  Each shard is searched whole with its BK-tree.  Texts with equal fingerprints
+    (copies among them) are one entry before that.  Texts without words are no one's duplicate and keep
+    their own doc_id; rows with a null doc_id stand alone too (null).
+    """
+    spark = docs.sparkSession
+    prepare(spark)
+    words = [f"w{i}" for i in range(len(_SALTS))]
+
+    def marks(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            x = np.array([wide_fingerprint(t, shingle) for t in part], np.int64).reshape(len(part), len(words))
+            yield pd.DataFrame({w: x[:, i] for i, w in enumerate(words)})
+
+    mark = F.pandas_udf(marks, ", ".join(f"{w} long" for w in words))
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mark(F.col(text)).alias("m")).select("doc_id", "m.*")
+    slim = materialize(slim, "wide")
+    some = slim.where("doc_id is not null and not (" + " and ".join(f"{w} = 0" for w in words) + ")")
+    reps = materialize(some.groupBy(*words).agg(F.min("doc_id").alias("least")), "reps")
+    n = max(2, reps.count())
+    radius = wide_radius(similarity)
+    bits = int(np.clip(np.ceil(np.log2(n)) - 2, 8, 48))
+    close = (1 - np.arccos(2 * similarity / (1 + similarity)) / np.pi) ** bits
+    tables = int(np.ceil(np.log(1 - RECALL) / np.log(1 - close)))
+    rng = np.random.default_rng(11)
+    chosen = [np.sort(rng.choice(WIDE_BITS, bits, replace=False)) for _ in range(tables)]
+
+    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place = np.int64(1) << np.arange(bits, dtype=np.int64)
+        for b in frames:
+            for at in range(0, len(b), 2048):
+                part = b.iloc[at : at + 2048]
+                x = np.ascontiguousarray(part[words].to_numpy(np.int64))
+                bit = np.unpackbits(x.view(np.uint8).reshape(len(x), -1), axis=1, bitorder="little").astype(np.int64)
+                key = np.concatenate([bit[:, c] @ place + (np.int64(t) << np.int64(bits)) for t, c in enumerate(chosen)])
+                yield pd.DataFrame({"key": key} | {w: np.tile(x[:, i], tables) for i, w in enumerate(words)} | {"least": np.tile(part["least"].to_numpy(np.int64), tables)})
+
+    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        left: pd.DataFrame | None = None
+
+        def pairs(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            k, x, ids = b["key"].to_numpy(np.int64), b[words].to_numpy(np.int64).view(np.uint64), b["least"].to_numpy(np.int64)
+            a_out, b_out = [], []
+            head = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            size = np.diff(np.append(head, len(k)))
+            two = head[size == 2]  # a tree of two nodes is one distance
+            d = np.bitwise_count(x[two] ^ x[two + 1]).sum(axis=1)
+            a_out.append(ids[two[d <= radius]])
+            b_out.append(ids[two[d <= radius] + 1])
+            for h, n in zip(head[size > 2].tolist(), size[size > 2].tolist(), strict=True):
+                i, j = tree_links(x[h : h + n], radius)
+                a_out.append(ids[h + i])
+                b_out.append(ids[h + j])
+            yield pd.DataFrame({"a": np.concatenate(a_out), "b": np.concatenate(b_out)})
+
+        for b in frames:
+            b = b if left is None else pd.concat([left, b], ignore_index=True)
+            last = b["key"].to_numpy() == b["key"].iloc[-1] if len(b) else np.zeros(0, bool)
+            left = b[last]
+            yield from pairs(b[~last]) if not last.all() else ()
+        if left is not None and len(left):
+            yield from pairs(left)
+
+    dealt = reps.mapInPandas(deal, "key long, " + ", ".join(f"{w} long" for w in words) + ", least long")
+    dealt = dealt.repartition("key").sortWithinPartitions("key", "least")
+    roots = components(dealt.mapInPandas(search, "a long, b long"))
+    named = reps.join(roots.select(F.col("a").alias("least"), F.col("b").alias("root")), "least", "left").select(*words, F.coalesce("root", "least").alias("component_id"))
+    # who stays is decided on ids alone, so the texts are not shuffled with hot fingerprints
+    ids = some.join(named, words).select(F.col("doc_id").alias("_id"), "component_id").dropDuplicates(["_id", "component_id"])
+    ids = ids.groupBy("_id").agg(F.min("component_id").alias("component_id"))
+    out = docs.drop("component_id").join(ids, F.col("doc_id").cast("long") == F.col("_id"), "left")
+    return out.withColumn("component_id", F.coalesce("component_id", F.col("doc_id").cast("long"))).drop("_id")
+
+
+def dedup(docs: DataFrame, text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: that of the least doc_id.
+
+    Rows that repeat the least doc_id all stay but if they are equal in every column.  Rows
+    without words and rows with a null doc_id stay.
+    """
+    columns = docs.columns
+    named = near_groups(docs.withColumn("_h", F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in columns])), text, shingle, similarity)
+    own = F.col("doc_id").cast("long")
+    # the rows of an id already lie together after the join, so repeats go without another shuffle
+    again = F.row_number().over(Window.partitionBy(own, "_h").orderBy(F.lit(0)))
+    kept = named.where(F.col("doc_id").isNull() | (F.col("component_id") == own)).withColumn("_again", again)
+    return kept.where(F.col("doc_id").isNull() | (F.col("_again") == 1)).select(*[f"`{c}`" for c in columns])
+
+
 def as_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 

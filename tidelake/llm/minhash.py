@@ -118,16 +118,17 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, na
     return docs.withColumn(name, signature(F.col(text), shingle))
 
 
-def with_next(docs: DataFrame, order: list[str], carry: list[str]) -> DataFrame:
-    """``docs`` and ``next``: a struct of the ``carry`` columns of the row after it by ``order``; after the last comes the first.
+def with_next(docs: DataFrame, order: list[str], carry: list[str], add: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """``add(docs)`` and ``next``: a struct of the ``carry`` columns of the row after it by ``order``; after the last comes the first.
 
-    Rows are cut into even ranges of the first order column, so that the text of each row is
+    ``add`` makes costly columns row by row; for the first rows of ranges, which are read
+    apart, it runs on those alone.  Rows are cut into even ranges of the first order column, so that the text of each row is
     shuffled once and no task holds more than a range.
     """
     key = F.coalesce(F.col(order[0]).cast("double"), F.lit(float("-inf")))
     rows = docs.count()
     if not rows:
-        return docs.withColumn("next", F.struct(*carry))
+        return add(docs).withColumn("next", F.struct(*carry))
     guides = sorted(set(docs.select(key.alias("k")).where(F.col("k") > float("-inf")).approxQuantile("k", [i / GUIDES for i in range(GUIDES + 1)], 1 / (4 * GUIDES)))) or [0.0]
     parts = max(1, -(-rows // (GUIDES * BUCKET_ROWS)))
     edges = F.array(*[F.lit(g) for g in guides])
@@ -135,11 +136,13 @@ def with_next(docs: DataFrame, order: list[str], carry: list[str]) -> DataFrame:
         (i > 0) & (i < len(guides)),
         F.least(F.lit(parts - 1), F.floor((key - F.get(edges, i - 1)) / F.greatest(F.get(edges, i) - F.get(edges, i - 1), F.lit(1e-300)) * parts)),
     ).otherwise(F.lit(0)))
-    dealt = docs.withColumn("_bucket", F.when(key == float("-inf"), F.lit(-1)).otherwise(span).cast("long"))
+    bucket = F.when(key == float("-inf"), F.lit(-1)).otherwise(span).cast("long")
+    dealt = add(docs).withColumn("_bucket", bucket)
     in_order = Window.partitionBy("_bucket").orderBy(*order)
     seen = dealt.withColumn("_next", F.lead(F.struct(*carry)).over(in_order)).withColumn("_rank", F.row_number().over(in_order))
-    heads = seen.where("_rank = 1").select(F.col("_bucket").alias("_head"), F.struct(*carry).alias("_first"))
-    keys = dealt.select("_bucket").distinct()
+    bare = docs.withColumn("_bucket", bucket)
+    heads = add(bare.withColumn("_rank", F.row_number().over(in_order)).where("_rank = 1")).select(F.col("_bucket").alias("_head"), F.struct(*carry).alias("_first"))
+    keys = bare.select("_bucket").distinct()
     every = Window.orderBy("_bucket")
     after = keys.select(F.col("_bucket").alias("_of"), F.coalesce(F.lead("_bucket").over(every), F.min("_bucket").over(Window.partitionBy())).alias("_then"))
     nexts = heads.join(after, F.col("_head") == F.col("_then")).select(F.col("_of"), "_first")
@@ -148,8 +151,7 @@ def with_next(docs: DataFrame, order: list[str], carry: list[str]) -> DataFrame:
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    marked = fingerprints(docs).withColumn("h", F.xxhash64("text"))
-    placed = with_next(marked, ["doc_id", "h"], ["text", "signature"])
+    placed = with_next(docs.withColumn("h", F.xxhash64("text")), ["doc_id", "h"], ["text", "signature"], fingerprints)
     n = F.char_length("text").cast("long")
     half = F.floor(n / 2)
     edited = F.concat(F.substr("text", F.lit(1), (n - half).cast("int")), F.substr("next.text", F.lit(1), half.cast("int")))

@@ -72,7 +72,7 @@ def due(part: Column, points: Sequence[tuple[float, float]]) -> Column:
     if len(points) < 2 or points[0][0] != 0 or points[-1][0] != 1 or any(w < 0 for _, w in points) or any(b[0] <= a[0] for a, b in zip(points, points[1:], strict=False)):
         raise ValueError("a schedule runs from time 0 to 1 with weights of 0 or more")
     areas = [(b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(points, points[1:], strict=False)]
-    total, at, out = sum(areas), 0.0, None
+    total, at, out, later = sum(areas), 0.0, None, 1.0
     if total <= 0:
         raise ValueError("a schedule needs some weight")
     for (t0, w0), (t1, w1), area in reversed(list(zip(points, points[1:], areas, strict=False))):
@@ -84,7 +84,8 @@ def due(part: Column, points: Sequence[tuple[float, float]]) -> Column:
         slope = (w1 - w0) / (t1 - t0)
         x = d / F.lit(w0) if slope == 0 else F.lit(2.0) * d / (F.lit(w0) + F.sqrt(F.greatest(F.lit(w0 * w0) + F.lit(2 * slope) * d, F.lit(1e-300))))
         here = F.least(F.lit(t0) + x, F.lit(t1))
-        out = here if out is None else F.when(part >= F.lit(start), out).otherwise(here)
+        out = here if out is None else F.when(part >= F.lit(later), out).otherwise(here)
+        later = start
     return out
 
 

@@ -39,7 +39,9 @@ def book_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     bids = side(lambda i: F.lit(1000.0) + v - F.lit(0.1) * (i + 1), lambda i: F.lit(1) + (e * 7 + i * 3) % 11)
     asks = side(lambda i: F.lit(1000.0) + v + F.lit(0.1) * (i + 1) + F.lit(0.05) * (e % 7), lambda i: F.lit(1) + (e * 5 + i * 2) % 13)
     action = F.when(F.col("event_type") == "error", "update").otherwise("snapshot")
-    return events(spark, sf_dir).select(F.col("ms").alias("ts"), action.alias("action"), asks.alias("asks"), bids.alias("bids"))
+    # the table is one small file; sixty levels a row are made and parsed by all cores
+    spread = events(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
+    return spread.select(F.col("ms").alias("ts"), action.alias("action"), asks.alias("asks"), bids.alias("bids"))
 
 
 def book_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -423,6 +423,16 @@ def test_secrets(spark, data):
     assert len(rows) == len(corpus()) and all(r["base_sha256"] == hashlib.sha256(b"").hexdigest() and r["n_hex"] == 0 for r in rows)
 
 
+def test_keys_behind_a_path_or_a_prefix_and_without_digits():
+    r = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    key = lambda n, of=letters + "0123456789": "".join(r.choice(of) for _ in range(n))
+    for make in (lambda: "/v1/my-app/" + key(40), lambda: "user_keys/" + key(40), lambda: f"sk-proj-{key(18)}/{key(12)}+{key(9)}", lambda: key(32, letters)):
+        assert sum(bool(secrets.random_spans(f"see {make()} there", [])) for _ in range(100)) > 85
+    for plain in ("/usr/local/my-app/getUserAccountInformationFromServer", "HTTPServletRequestWrapperFactoryBean", "donaudampfschifffahrtsgesellschaft"):
+        assert not secrets.random_spans(plain, [])
+
+
 # 8
 def test_licenses_against_all_passages(spark):
     m = licenses.Matcher()

@@ -33,6 +33,9 @@ BASE = (
 #: Runs that the long form of a pattern must hold, where finding them is cheaper than all matches.
 _LONG = {"hex": re.compile(r"[0-9a-f]{24,}"), "access": re.compile(r"AKIA[A-Z0-9]{16,}")}
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+#: Where a candidate that fails as a whole is split, and the least part that is tested.
+_JOINTS = tuple(map(re.compile, (r"[^_-]+", r"[^/+]+", r"[^/_+-]+")))
+LEAST = 20
 #: Alphabets by which tokens are encoded, smallest first.
 ALPHABETS = tuple(
     (n, {c: i for i, c in enumerate(a)})
@@ -74,8 +77,8 @@ def looks_random(token: str) -> tuple[str, float] | None:
     """Encoding and e-value against ordinary text, or None if a test rejects randomness."""
     body = token.rstrip("=")
     found = next(((name, a) for name, a in ALPHABETS if all(c in a for c in body)), None)
-    if found is None or body.isdigit() or not any(c.isdigit() for c in body):
-        return None  # numbers are ordinary, and so are runs of letters
+    if found is None or body.isdigit():
+        return None  # numbers are ordinary
     name, alphabet = found
     x, n, k = [alphabet[c] for c in body], len(body), len(alphabet)
     counts: dict[int, int] = {}
@@ -115,8 +118,17 @@ def random_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int
             continue
         if (found := looks_random(m[0])) is not None:
             tested.append((found[1], m.start(), m.end()))
-        else:
-            tested.append((-math.inf, m.start(), m.end()))
+            continue
+        tested.append((-math.inf, m.start(), m.end()))
+        done: list[tuple[int, int]] = []
+        for joint in _JOINTS:  # the parts that an alphabet may hold, then the smallest
+            for part in joint.finditer(m[0].rstrip("=")):
+                s, e = m.start() + part.start(), m.start() + part.end()
+                if LEAST <= e - s < len(m[0]) and not any(a < e and s < b for a, b in done):
+                    found = looks_random(part[0])
+                    tested.append((found[1] if found else -math.inf, s, e))
+                    if found:
+                        done.append((s, e))
     tested.sort(reverse=True)
     keep = 0
     for i, (gain, *_) in enumerate(tested, 1):

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tidelake import llm
-from tidelake.llm import common, components, licenses, minhash, mixing, packing, secrets, simhash, substring, topk, toxicity, url_filter
+from tidelake.llm import common, components, hashing, licenses, minhash, mixing, packing, secrets, simhash, substring, topk, toxicity, url_filter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -274,6 +274,19 @@ def test_index_statistics():
             assert {tuple(text[j : j + 6]) for j in index.order[a:b]} == {tuple(text[k : k + 6])}
 
 
+def test_words_whose_hashes_agree_in_half_their_bits_differ(spark):
+    words = [f"id{k}" for k in range(300_000)]
+    raw, begin = hashing.join([w.encode() for w in words])
+    half = hashing.Ranges(raw)(begin, begin + [len(w) for w in words]) >> np.uint64(32)
+    order = np.argsort(half, kind="stable")
+    same = np.flatnonzero(half[order][1:] == half[order][:-1])[0]
+    a, b = words[order[same]], words[order[same + 1]]
+    around = [f"w{k}" for k in range(24)]
+    rows = [(k, " ".join([*around[:12], w, *around[12:]])) for k, w in enumerate((a, b))]
+    got = substring.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(not r["repeats"] for r in got)
+
+
 # 6
 def plain_simhash(t):
     w = words("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))

@@ -42,7 +42,7 @@ _CUT = np.dtype([("doc", "<i8"), ("row", "<u4"), ("at", "<u4"), ("end", "<u4")])
 def _grams(codes: np.ndarray) -> np.ndarray:
     """Hashes of each three codes that follow one another."""
     c = codes.astype(np.uint64)
-    return hashing.mixed((c[:-2] * np.uint64(0x9E3779B97F4A7C15)) ^ hashing.mixed(c[1:-1] + (c[2:] << np.uint64(32))))
+    return hashing.mixed((c[:-2] * np.uint64(0x9E3779B97F4A7C15)) ^ hashing.mixed(c[1:-1] + hashing.mixed(c[2:])))
 
 
 def _least(g: np.ndarray, width: int) -> np.ndarray:
@@ -129,10 +129,10 @@ def _segments(raws: list[bytes], docs: np.ndarray, rows: np.ndarray, window: int
     """Segments of the texts, their minimisers, the codes of all words and where each segment's words begin in them."""
     raw, begin = hashing.join(raws)
     start, end = hashing.runs(~_SPACE[raw])
-    none = np.zeros(0, _SEG), np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    none = np.zeros(0, _SEG), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     if len(start) < window:
         return none
-    codes = (hashing.Ranges(raw)(start, end) >> np.uint64(32)).astype(np.uint32)
+    codes = hashing.Ranges(raw)(start, end)
     doc = np.searchsorted(begin, start, side="right") - 1
     least = _least(_grams(codes), window - _GRAM + 1)
     whole = np.flatnonzero(doc[window - 1 :] == doc[: len(doc) - window + 1])  # windows within one text
@@ -275,7 +275,7 @@ def _shard(frames: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame
                 continue
             n = int(np.frombuffer(blob, np.int64, 1)[0])
             segs.append(np.frombuffer(blob, _SEG, n, 8))
-            codes.append(np.frombuffer(blob, np.uint32, -1, 8 + n * _SEG.itemsize))
+            codes.append(np.frombuffer(blob, np.uint64, -1, 8 + n * _SEG.itemsize))
     yield from close()
 
 
@@ -285,7 +285,7 @@ def repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, name: str
 
     Null, empty and short texts have none (null list).  Rows with a null doc_id keep all
     and make nobody else a repeat.  Rows that share a doc_id never count against each other.
-    Words are compared by 32 bits of their hash, windows by all 13 of them.
+    Words are compared by 64 bits of their hash, windows by all 13 of them.
     """
     if not _GRAM <= window <= 16:
         raise ValueError("a window has 3 to 16 words")

@@ -473,6 +473,12 @@ def test_licenses_against_all_passages(spark):
     assert out[1][0]["license"] == "MIT" and out[1][0]["dice"] == 1.0 and out[2] == []
 
 
+def test_family_headers_keep_their_own_name():
+    texts = [t for n, t in licenses.TEMPLATES if n in ("AGPL-3.0", "LGPL-3.0", "LGPL-2.1", "BSD-3-Clause") and len(t) > 150]
+    assert len(texts) == 4 and "Affero" in texts[0]
+    assert {n for n, t in licenses.TEMPLATES if "Neither the name of the copyright holder" in t} == {"BSD-3-Clause"}
+
+
 # 9
 def test_mixing(spark, data):
     rows = llm.QUERIES["op9_mix"](spark, data).collect()

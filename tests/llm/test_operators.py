@@ -476,6 +476,7 @@ def test_licenses_against_all_passages(spark):
 def test_family_headers_keep_their_own_name():
     texts = [t for n, t in licenses.TEMPLATES if n in ("AGPL-3.0", "LGPL-3.0", "LGPL-2.1", "BSD-3-Clause") and len(t) > 150]
     assert len(texts) == 4 and "Affero" in texts[0]
+    assert [[m["license"] for m in found] for found in licenses.Matcher().match(texts)] == [["AGPL-3.0"], ["LGPL-3.0"], ["LGPL-2.1"], ["BSD-3-Clause"]]
     assert {n for n, t in licenses.TEMPLATES if "Neither the name of the copyright holder" in t} == {"BSD-3-Clause"}
 
 

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tidelake import llm
-from tidelake.llm import common, components, hashing, licenses, minhash, mixing, packing, secrets, simhash, substring, topk, toxicity, url_filter
+from tidelake.llm import common, components, hashing, licenses, minhash, mixing, near, packing, secrets, simhash, substring, topk, toxicity, url_filter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -375,11 +375,12 @@ def plain_groups(texts, similarity=0.8):
     return roots_of(range(len(sets)), close)
 
 
-@pytest.mark.parametrize("common", [None, 3])
-def test_near_groups_are_those_of_the_exact_similarity(spark, monkeypatch, common):
-    """Pairs at 0.6 to 0.85, short texts that differ in the last word, a template with one field, a group of more than SMALL."""
-    if common:
-        monkeypatch.setattr(simhash, "COMMON", common)
+@pytest.mark.parametrize("members, blocks", [(2048, 16), (8, 16), (8, 1)])
+def test_near_groups_are_those_of_the_exact_similarity(spark, monkeypatch, members, blocks):
+    """Pairs at 0.6 to 0.85, short texts that differ in the last word, a template with one field, two large groups;
+    also where components are cut into blocks, or taken apart by their keys."""
+    monkeypatch.setattr(near, "MEMBERS", members)
+    monkeypatch.setattr(near, "BLOCKS", blocks)
     r = random.Random(31)
     word = lambda: f"w{r.randrange(5000)}"
     texts = []
@@ -403,15 +404,42 @@ def test_near_groups_are_those_of_the_exact_similarity(spark, monkeypatch, commo
     assert all(v == min(k for k in got if got[k] == v) for v in got.values())
 
 
-def test_every_pair_at_the_threshold_is_found(spark):
-    """36 shingles each, 32 of them common: a similarity of exactly 0.8."""
+def test_recall_of_pairs_at_the_threshold(spark):
+    """36 shingles each, 32 of them common: a similarity of exactly 0.8.  2000 pairs, recall above 0.995."""
     r = random.Random(5)
     texts = []
-    for _ in range(400):
+    for _ in range(2000):
         w = [f"w{r.randrange(50000)}" for _ in range(40)]
         texts += [" ".join(w), " ".join([*w[:36], *(f"x{r.randrange(50000)}" for _ in range(4))])]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert {x["doc_id"]: x["component_id"] for x in simhash.near_groups(docs).collect()} == {k: k - k % 2 for k in range(800)}
+    got = {x["doc_id"]: x["component_id"] for x in simhash.near_groups(docs).collect()}
+    assert sum(got[k] == k - 1 for k in range(1, 4000, 2)) >= 1990 and all(got[k] in (k, k - k % 2) for k in got)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_trees_of_sets_against_all_pairs(seed):
+    from fractions import Fraction
+
+    r = random.Random(seed)
+    for _ in range(25):
+        base = [r.randrange(300) for _ in range(r.choice([5, 40, 150]))]
+        sets = []
+        for _ in range(r.choice([2, 3, 20, 60])):
+            part = [x if r.random() > r.choice([0, 0.05, 0.1, 0.2]) else r.randrange(10**6) for x in base] if r.random() < 0.7 else [r.randrange(300) for _ in range(r.randint(1, 100))]
+            sets.append(np.unique(np.array(part, np.uint64)))
+        i, j = near.tree_links(sets, Fraction(4, 5))
+        mine = roots_of(range(len(sets)), list(zip(i.tolist(), j.tolist(), strict=True)))
+        want = roots_of(range(len(sets)), [(a, b) for a in range(len(sets)) for b in range(a) if 9 * len(np.intersect1d(sets[a], sets[b])) >= 4 * (len(sets[a]) + len(sets[b]))])
+        assert mine == want
+
+
+def test_joins_spread_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 16)
+    rows = spark.range(4000).select(F.when(F.col("id") < 1500, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    single = rows.select("k").distinct().withColumn("x", F.col("k") * 2)
+    assert common.hot_parts(rows, "k")
+    got = common.skew_join(rows, single, "k", "v")
+    assert got.columns == ["k", "v", "x"] and sorted(map(tuple, got.collect())) == sorted((7 if i < 1500 else i, i, 14 if i < 1500 else 2 * i) for i in range(4000))
 
 
 # 7

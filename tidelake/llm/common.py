@@ -73,6 +73,40 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
 
 
-def cuts(spark: SparkSession, rows: int, per: int) -> int:
-    """Parts for so many rows at so many a part, and at least the session's shuffle partitions."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per))
+#: Slots by which rows are counted to find hot keys; a slot is hot if it holds this many times an even share, and rows enough.
+SLOTS, HOT, HOT_ROWS = 4096, 8, 2048
+
+
+def hot_parts(rows: DataFrame, key: str) -> dict[int, int]:
+    """Into how many parts the rows of each hot slot of ``key`` go; at most SLOTS / HOT of them.
+
+    Counts are by hashed slot, so what reaches the driver is bounded however many keys there are.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
+    counts = {r[0]: r[1] for r in rows.groupBy(slot.alias("s")).agg(F.count("*")).collect()}
+    even = max(HOT_ROWS, HOT * sum(counts.values()) // SLOTS)
+    return {s: -(-2 * n // even) for s, n in counts.items() if n > even}
+
+
+def salted(rows: DataFrame, key: str, spread: str, parts: dict[int, int]) -> DataFrame:
+    """``rows`` with _salt, which spreads the rows of hot slots by a hash of ``spread``, and _hot."""
+    if not parts:
+        return rows.withColumn("_salt", F.lit(0)).withColumn("_hot", F.lit(False))
+    told = F.broadcast(rows.sparkSession.createDataFrame(sorted(parts.items()), "_slot int, _parts int"))
+    slotted = rows.withColumn("_slot", F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")).join(told, "_slot", "left")
+    salt = F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(spread, F.lit(3)), F.col("_parts")).cast("int"))
+    return slotted.withColumn("_salt", salt).withColumn("_hot", F.col("_parts").isNotNull()).drop("_slot", "_parts")
+
+
+def skew_join(rows: DataFrame, single: DataFrame, key: str, spread: str) -> DataFrame:
+    """Inner join on ``key`` where ``single`` has one row a key and ``rows`` (a written table) may have any number.
+
+    Rows of hot keys are spread by ``spread`` and meet copies of the single row, so no task gets them all.
+    """
+    parts = hot_parts(rows, key)
+    if not parts:
+        return rows.join(single, key)
+    told = F.broadcast(rows.sparkSession.createDataFrame(sorted(parts.items()), "_slot int, _parts int"))
+    copies = single.withColumn("_slot", F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")).join(told, "_slot", "left")
+    copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts") - 1, F.lit(0))))).drop("_slot", "_parts")
+    return salted(rows, key, spread, parts).drop("_hot").join(copies, [key, "_salt"]).drop("_salt")

@@ -5,36 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from .common import discard, materialize, skew_join
 
 #: Far beyond the logarithmic number of rounds that any graph needs.
 MOST_ROUNDS = 64
 
 
 def _large(e: DataFrame) -> DataFrame:
-    both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    """Every node's larger neighbours go to the least of its neighbourhood; ``e`` is (a, b) with a > b."""
+    # a node's least neighbour: of its smaller ones if it has any, else it is the least itself
+    least = e.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("m"))
+    up = skew_join(e, e.select("b").distinct().join(least, "b", "left"), "b", "a")  # larger neighbours a of b
+    return up.select("a", F.coalesce("m", "b").alias("b"))
 
 
 def _small(e: DataFrame) -> DataFrame:
-    down = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    inner = down.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return inner.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+    """Every node's smaller neighbours, and the node, go to the least of them."""
+    least = e.groupBy("a").agg(F.min("b").alias("m"))
+    inner = skew_join(e, least, "a", "b").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return inner.unionByName(least.select("a", F.col("m").alias("b")))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(a, b): every node with an edge to another but the least of its component, and that least node.
 
-    Minima are pre-aggregated before each shuffle, so a node with any number of
-    links is no one task's list; the joins that hand minima back can be split by
-    adaptive execution.  Each round is written, so lost executors cost one round.
+    Minima are aggregated before each shuffle, and the joins that hand them back spread the links of a node with
+    many, so a hub's star is no one task's list.  Each round is written, so lost executors cost one round.
     """
     e = materialize(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
     for _ in range(MOST_ROUNDS):
-        new = materialize(_small(_large(e).distinct()).distinct(), "edges")
+        wide = materialize(_large(e).distinct(), "edges")
+        new = materialize(_small(wide).distinct(), "edges")
+        discard(wide)
         discard(e)
         e = new
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -11,25 +11,25 @@ shards by the bits that are still free.  Shards give spanning links, not pairs.
 The trees are built where their shard's rows meet; they aren't broadcast, since
 all trees together grow with the corpus.
 
-Near-duplicates at a similarity threshold (``near_groups``, ``dedup``) are found
-without fingerprints: by an exact join on the sets of shingles.
+Near-duplicates at a similarity threshold (``near_groups``, ``dedup`` of ``near``)
+need more than 64 bits: there the BK-trees hold the sets of shingles themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from fractions import Fraction
 from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, prepare, table
+from .common import materialize, prepare, skew_join, table
 from .components import components
+from .near import dedup, near_groups
 
 SEED = 42
 RADIUS = 3
@@ -204,237 +204,10 @@ def group(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, radius: i
     found = links(least.select("fp"), radius)
     roots = components(found)
     placed = least.join(roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    placed = materialize(placed, "placed")
     named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = placed.join(named, "root").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id")
-
-
-#: Shingles seen in this many texts of the sample are common; at most so many of them are told to every task.
-COMMON, MOST_COMMON, SAMPLE_ROWS = 8, 1 << 16, 20_000
-#: Texts with one rare shingle of which all pairs are candidates at once; larger lists are linked as stars first.
-SMALL = 16
-
-
-def shingles(text: str | None, shingle: int = 5) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles; a text of fewer words is one shingle, one without words has none."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    n = min(shingle, len(words))
-    flat = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(flat[a:b], SEED) for a, b in zip(starts[: len(words) - n + 1].tolist(), ends[n - 1 :].tolist(), strict=True)], np.uint64))
-
-
-def set_key(h: np.ndarray) -> int | None:
-    """64 bits that stand for a set of shingles; None for an empty one."""
-    return int(np.uint64(xxhash.xxh64_intdigest(h.tobytes(), SEED)).view(np.int64)) if len(h) else None
-
-
-def enough(a, b, ratio: Fraction):
-    """Least number of common shingles of sets of a and b that make the Jaccard similarity ``ratio``, in whole numbers."""
-    p, q = ratio.numerator, ratio.denominator
-    return -(-(p * (a + b)) // (p + q))
-
-
-def rare_first(h: np.ndarray, common: np.ndarray, counts: np.ndarray, ratio: Fraction) -> np.ndarray:
-    """The first shingles in one order for all texts (rare ones first) of which similar sets must share one."""
-    n = len(h)
-    if not n:
-        return h
-    seen = np.zeros(n, np.int64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, h), len(common) - 1)
-        seen = np.where(common[at] == h, counts[at], 0)
-    least = -(-n * ratio.numerator // ratio.denominator)  # what any partner must share
-    return h[np.lexsort((h, seen))[: n - least + 1]]
-
-
-def listed_pairs(u: np.ndarray, n: np.ndarray, at: np.ndarray, label: np.ndarray, ratio: Fraction, star: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs among the texts of one shingle's list that may be similar, by sizes and by what is left behind the shingle.
-
-    The shingle is the first that a similar pair shares for one of its lists, so the test there loses none.
-    With ``star`` only those of the text that has most left; else all of different labels.
-    """
-    order = np.lexsort((u, at - n))
-    u, n, at, label = u[order], n[order], at[order], label[order]
-    left = n - at
-    for i in range(1 if star else len(u) - 1):
-        j = slice(i + 1, None)  # left falls, so the later text has the least left
-        near = (left[j] >= enough(n[j], n[i], ratio)) & (label[j] != label[i])
-        if near.any():
-            other = u[j][near]
-            yield np.minimum(other, u[i]), np.maximum(other, u[i])
-
-
-def _sets(docs: DataFrame, reps: DataFrame, asked: DataFrame, text: str, shingle: int) -> DataFrame:
-    """(u, h): the set keys asked for and their sets."""
-    home = reps.join(asked, "u", "left_semi").select(F.col("u").alias("asked"), F.col("least").alias("_id"))
-
-    def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()  # a repeated row gives no second set, or in a split partition one that does no harm
-        for b in frames:
-            for at in range(0, len(b), 256):
-                rows = []
-                for u, t in zip(b["asked"][at : at + 256], b["text"][at : at + 256], strict=True):
-                    if u not in seen and set_key(h := shingles(t, shingle)) == u:
-                        seen.add(u)
-                        rows.append((u, h.view(np.int64)))
-                if rows:
-                    yield pd.DataFrame(rows, columns=["u", "h"])
-
-    held = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col(text).alias("text")).join(home, "_id").select("asked", "text")
-    return materialize(held.mapInPandas(sets, "u long, h array<long>"), "sets")
-
-
-def _similar(pairs: DataFrame, sets: DataFrame, ratio: Fraction) -> DataFrame:
-    """The pairs (a, b) of set keys whose sets have at least the Jaccard similarity ``ratio``."""
-    both = pairs.join(sets.select(F.col("u").alias("a"), F.col("h").alias("ha")), "a").join(sets.select(F.col("u").alias("b"), F.col("h").alias("hb")), "b")
-    p, q = ratio.numerator, ratio.denominator
-    close = F.size(F.array_intersect("ha", "hb")).cast("long") * (p + q) >= (F.size("ha") + F.size("hb")).cast("long") * p
-    return materialize(both.where(close).select("a", "b"), "similar")
-
-
-def near_groups(docs: DataFrame, text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """All columns of ``docs`` and component_id: the least doc_id of the near-duplicates of the row's text.
-
-    Two texts are linked if the Jaccard similarity of their sets of shingles (64-bit hashes) is at least
-    ``similarity``; links make components.  The search is exact: in one order of all shingles, two such sets
-    share one of the first n - ceil(similarity * n) + 1 of each, so every text is listed under these, and sizes
-    and places in a list rule most pairs out.  A sample tells which shingles are common; they come last in the
-    order, which bears on the work alone.  Every pair that is left is checked on its sets.  In long lists the
-    pairs with one text are checked first, and then those that this has not joined.  Equal sets (copies among
-    them) are one entry before that.  Texts without words are no one's duplicate and keep their own doc_id; rows
-    with a null doc_id stand alone too (null).
-    """
-    spark = docs.sparkSession
-    prepare(spark)
-    ratio = Fraction(str(similarity))
-    doc = F.col("doc_id").cast("long")
-
-    def spelled(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            yield pd.Series([shingles(t, shingle).view(np.int64) for t in part])
-
-    total = docs.count()
-    every = max(1, total // SAMPLE_ROWS)
-    some = docs.where(F.pmod(F.xxhash64(doc, F.lit(SEED)), F.lit(every)) == 0).select(F.explode(F.pandas_udf(spelled, "array<long>")(F.col(text))).alias("h"))
-    often = materialize(some.groupBy("h").count().where(F.col("count") >= COMMON), "common").orderBy(F.desc("count"), "h").limit(MOST_COMMON).toPandas()
-    common = often["h"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(common)
-    told = spark.sparkContext.broadcast((common[order], often["count"].to_numpy(np.int64)[order]))
-
-    def marks(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known, counts = told.value
-        for part in parts:
-            rows = [(set_key(h := shingles(t, shingle)), len(h), rare_first(h, known, counts, ratio).tobytes()) for t in part]
-            yield pd.DataFrame({"u": pd.array([r[0] for r in rows], "Int64"), "n": [r[1] for r in rows], "first": [r[2] for r in rows]})
-
-    slim = materialize(docs.select(doc.alias("doc_id"), F.pandas_udf(marks, "u long, n int, first binary")(F.col(text)).alias("m")).select("doc_id", "m.*"), "marks")
-    words = materialize(slim.where("doc_id is not null and u is not null").select("doc_id", "u"), "words")
-    reps = materialize(slim.where("doc_id is not null and u is not null").groupBy("u").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("first").alias("first")), "reps")
-    discard(slim)
-
-    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in frames:
-            for s in range(0, len(b), 128):
-                part = b.iloc[s : s + 128]
-                firsts = [np.frombuffer(f, np.int64) for f in part["first"]]
-                size = np.array([len(f) for f in firsts], np.int64)
-                if size.sum():
-                    of = lambda c: np.repeat(part[c].to_numpy(np.int64), size)  # noqa: B023, E731
-                    yield pd.DataFrame({"h": np.concatenate(firsts), "place": np.concatenate([np.arange(k) for k in size]) << 32 | of("n")} | {c: of(c) for c in ("u", "label") if c in part})
-
-    def search(frames: Iterator[pd.DataFrame], stars: bool) -> Iterator[pd.DataFrame]:
-        """Pairs (a, b) and, with ``stars``, (h, null) for each long list."""
-        left: list[pd.DataFrame] = []
-
-        def found(b: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            h, place, u, label = (b[c].to_numpy(np.int64) for c in ("h", "place", "u", "u" if stars else "label"))
-            n, at = place & 0xFFFFFFFF, place >> 32
-            head = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            size = np.diff(np.append(head, len(h)))
-            two = head[size == 2]
-            near = np.minimum(n[two] - at[two], n[two + 1] - at[two + 1]) >= enough(n[two], n[two + 1], ratio)
-            two = two[near & (label[two] != label[two + 1])]
-            a_out, b_out = [np.minimum(u[two], u[two + 1])], [np.maximum(u[two], u[two + 1])]
-            held = len(two)
-            long = h[head[size > SMALL]] if stars else h[:0]
-            if len(long):
-                yield pd.DataFrame({"a": long, "b": pd.array([None] * len(long), "Int64")})
-            for s, k in zip(head[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-                r = slice(s, s + k)
-                for a, c in listed_pairs(u[r], n[r], at[r], label[r], ratio, stars and k > SMALL):
-                    a_out.append(a)
-                    b_out.append(c)
-                    held += len(a)
-                    if held > _STEP:
-                        yield pd.DataFrame({"a": np.concatenate(a_out), "b": pd.array(np.concatenate(b_out), "Int64")})
-                        a_out, b_out, held = [], [], 0
-            if held:
-                yield pd.DataFrame({"a": np.concatenate(a_out), "b": pd.array(np.concatenate(b_out), "Int64")})
-
-        for b in frames:
-            if not len(b):
-                continue
-            last = b["h"].to_numpy() == b["h"].iloc[-1]
-            if last.all() and (not left or left[-1]["h"].iloc[-1] == b["h"].iloc[-1]):
-                left.append(b)
-                continue
-            yield from found(pd.concat([*left, b[~last]], ignore_index=True))
-            left = [b[last]]
-        if left:
-            yield from found(pd.concat(left, ignore_index=True))
-
-    kinds = "h long, place long, u long"
-    # the first search: no text is linked yet
-    dealt = reps.select("u", "n", "first").mapInPandas(deal, kinds).repartition("h").sortWithinPartitions("h")
-    out = materialize(dealt.mapInPandas(lambda f: search(f, True), "a long, b long").distinct(), "pairs")
-    pairs, long = out.where("b is not null"), out.where("b is null").select(F.col("a").alias("h"))
-    ends = lambda e: e.select(F.col("a").alias("u")).unionByName(e.select(F.col("b").alias("u"))).distinct()
-    sets = _sets(docs, reps, ends(pairs), text, shingle)
-    tables = [sets]
-    similar = _similar(pairs, sets, ratio)
-    roots = components(similar)
-    if not long.isEmpty():
-        # the second: what stands in long lists and is not joined
-        labelled = reps.select("u", "n", "first").join(roots.select(F.col("a").alias("u"), F.col("b").alias("root")), "u", "left").select("u", "n", "first", F.coalesce("root", "u").alias("label"))
-        again = labelled.mapInPandas(deal, kinds + ", label long").join(long, "h", "left_semi").repartition("h").sortWithinPartitions("h")
-        more = again.mapInPandas(lambda f: search(f, False), "a long, b long").distinct()
-        more = materialize(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        if not more.isEmpty():
-            new = ends(more).join(sets, "u", "left_anti")
-            if not new.isEmpty():
-                tables.append(_sets(docs, reps, new, text, shingle))
-                sets = sets.unionByName(tables[-1])
-            similar = similar.unionByName(_similar(more, sets, ratio))
-            roots = components(similar)
-    for done in tables:
-        discard(done)
-    placed = reps.join(roots.select(F.col("a").alias("u"), F.col("b").alias("root")), "u", "left").select("u", "least", F.coalesce("root", "u").alias("root"))
-    named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = placed.join(named, "root").select("u", "component_id")
-    # who stays is decided on ids alone, so the texts are not shuffled with hot sets
-    ids = words.select("doc_id", "u").join(named, "u").groupBy(F.col("doc_id").alias("_id")).agg(F.min("component_id").alias("component_id"))
-    out = docs.drop("component_id").join(ids, F.col("doc_id").cast("long") == F.col("_id"), "left")
-    return out.withColumn("component_id", F.coalesce("component_id", F.col("doc_id").cast("long"))).drop("_id")
-
-
-def dedup(docs: DataFrame, text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: that of the least doc_id.
-
-    Rows that repeat the least doc_id all stay but if they are equal in every column.  Rows
-    without words and rows with a null doc_id stay.
-    """
-    columns = docs.columns
-    named = near_groups(docs.withColumn("_h", F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in columns])), text, shingle, similarity)
-    own = F.col("doc_id").cast("long")
-    # the rows of an id already lie together after the join, so repeats go without another shuffle
-    again = F.row_number().over(Window.partitionBy(own, "_h").orderBy(F.lit(0)))
-    kept = named.where(F.col("doc_id").isNull() | (F.col("component_id") == own)).withColumn("_again", again)
-    return kept.where(F.col("doc_id").isNull() | (F.col("_again") == 1)).select(*[f"`{c}`" for c in columns])
+    by_fp = skew_join(placed, named, "root", "fp").select("fp", "component_id")
+    return skew_join(marked, by_fp, "fp", "doc_id").select("doc_id", "fp", "component_id")
 
 
 def as_hex(fp: Column) -> Column:
@@ -446,4 +219,4 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-__all__ = ["fingerprint", "fingerprints", "group", "links", "tree_links", "op6_simhash"]
+__all__ = ["dedup", "fingerprint", "fingerprints", "group", "links", "near_groups", "tree_links", "op6_simhash"]

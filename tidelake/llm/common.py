@@ -20,8 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of rows that a Python worker gets at once, where the session leaves Spark's default (64 MB) alone.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m")
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers on this machine import this package; clusters ship it with --py-files."""
+    """Let Python workers on this machine import this package (clusters ship it with --py-files), and bound their batches in bytes."""
+    if spark.conf.get(BATCH[0]) == BATCH[1]:
+        spark.conf.set(BATCH[0], BATCH[2])
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "")

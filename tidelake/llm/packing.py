@@ -34,8 +34,8 @@ END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 #: Rows of one length that one task ranks, about.
 RANK_ROWS = 16384
-#: Distinct pre-tokens a worker remembers, then it starts over; bounds its memory.
-CACHE_WORDS = 1_000_000
+#: Distinct pre-tokens a worker remembers, and as many of the ones before; bounds its memory.
+CACHE_WORDS = 200_000
 
 #: Longer chunks are encoded anew each time.
 CACHE_CHARS = 64
@@ -67,25 +67,32 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}  # the last full memory; what is still in use moves back
 
     def encode(self, text: str) -> bytes:
         parts = _CUT.split(text) if _ODD.search(text) or any(s in text for s in self.special) else _PRE.findall(text)
-        known = self.known
         try:
-            return b"".join([known[p] for p in parts])
+            return b"".join([self.known[p] for p in parts])
         except KeyError:
-            new = list({p for p in parts if p not in known})
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(set(parts))
-            for p, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[p] = array("I", e.ids).tobytes()
-            out = b"".join([known[p] for p in parts])
-            for p in new:
-                if len(p) > CACHE_CHARS:
-                    del known[p]
+            long = self.learn(parts)
+            out = b"".join([self.known[p] for p in parts])
+            for p in long:
+                del self.known[p]
             return out
 
+    def learn(self, parts: list[str]) -> list[str]:
+        """Makes all parts known; returns those that are too long to stay so."""
+        new = {p for p in parts if p not in self.known}
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known, self.before, new = {}, self.known, set(parts)
+        for p in [p for p in new if p in self.before]:
+            self.known[p] = self.before[p]
+            new.discard(p)
+        fresh = list(new)
+        for p, e in zip(fresh, self.tok.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+            self.known[p] = array("I", e.ids).tobytes()
+        return [p for p in fresh if len(p) > CACHE_CHARS]
+
 
 _encoders: dict[str, Encoder] = {}
 

@@ -79,6 +79,20 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), GAP), lambda w: w != "")
 
 
+def attach(docs: DataFrame, keys: dict[str, Column], found: DataFrame) -> DataFrame:
+    """``docs`` with the columns of ``found`` (one row for each key at most) that are no keys; null where there is none.
+
+    ``keys`` says what of ``docs`` each key column of ``found`` must equal.  Columns of ``docs`` that bear an added
+    column's name are replaced; any other names may clash.
+    """
+    added = [c for c in found.columns if c not in keys]
+    keep = [c for c in docs.columns if c.lower() not in {a.lower() for a in added}]
+    left = docs.select(*[F.col(f"`{c}`").alias(f"_l{i}") for i, c in enumerate(keep)], *[k.alias(f"_k{i}") for i, k in enumerate(keys.values())])
+    right = found.select(*[F.col(k).alias(f"_f{i}") for i, k in enumerate(keys)], *[F.col(f"`{a}`").alias(f"_a{i}") for i, a in enumerate(added)])
+    out = left.join(right, [F.col(f"_k{i}") == F.col(f"_f{i}") for i in range(len(keys))], "left")
+    return out.select(*[F.col(f"_l{i}").alias(c) for i, c in enumerate(keep)], *[F.col(f"_a{i}").alias(a) for i, a in enumerate(added)])
+
+
 #: Slots by which rows are counted to find hot keys; a slot is hot if it holds this many times an even share, and rows enough.
 SLOTS, HOT, HOT_ROWS = 4096, 8, 2048
 

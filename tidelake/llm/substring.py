@@ -9,8 +9,10 @@ bits; backward search of the shard's own windows, all at once, gives their
 matching statistics, and the documents of a suffix range give the first
 document that has a window.
 
-Copies of a segment within a task are collapsed before the shuffle: only the
-smallest doc_id's is sent, the others are known to be repeats.
+Segments travel as the words themselves, compressed, so words are compared by
+64 hash bits without 64 bits a word being sent.  Copies of a segment within a
+step are collapsed before the shuffle, word by word: only the smallest doc_id's
+is sent, the others are known to be repeats.
 """
 
 from __future__ import annotations
@@ -20,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import hashing
-from .common import materialize, prepare, table
+from .common import attach, materialize, prepare, table
 
 WINDOW = 13
 _GRAM = 3
@@ -90,9 +93,11 @@ def _reversed_key(x: np.ndarray, levels: int) -> np.ndarray:
 
 
 class FMIndex:
-    """Backward search over a text of symbols 1.. with 0 between its parts, for patterns of at most 16 symbols."""
+    """Backward search over a text of symbols 1.. with 0 between its parts, for patterns of at most 16 symbols.
 
-    def __init__(self, text: np.ndarray, sigma: int):
+    ``owner`` numbers the text's places by whose they are, in an order of which the least counts."""
+
+    def __init__(self, text: np.ndarray, sigma: int, owner: np.ndarray):
         rank, span = text.astype(np.int64), 1
         top = sigma
         while span < 16:
@@ -101,9 +106,11 @@ class FMIndex:
             _, rank = np.unique(rank * (top + 2) + after, return_inverse=True)
             rank = rank.astype(np.int64)
             top, span = int(rank.max()) + 1, span * 2
-        self.order = np.argsort(rank, kind="stable")  # suffixes by their first 16 symbols
+        order = np.argsort(rank, kind="stable").astype(np.int32)  # suffixes by their first 16 symbols
         self.heads = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])
-        self.bwt = WaveletMatrix(text[self.order - 1], sigma)
+        self.bwt = WaveletMatrix(text[order - 1], sigma)
+        # of the suffixes only their owners' numbers are kept, in as few bytes as they need
+        self.owner = owner[order].astype(np.min_scalar_type(int(owner.max(initial=0))))
 
     def statistics(self, text: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For the patterns text[at:at+length]: suffix range (lo, hi) and how many symbols, read
@@ -125,14 +132,20 @@ class FMIndex:
         return lo, hi, matched
 
 
-def _segments(raws: list[bytes], docs: np.ndarray, rows: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Segments of the texts, their minimisers, the codes of all words and where each segment's words begin in them."""
-    raw, begin = hashing.join(raws)
+def _words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a buffer, and their codes."""
     start, end = hashing.runs(~_SPACE[raw])
-    none = np.zeros(0, _SEG), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return start, end, hashing.Ranges(raw)(start, end)
+
+
+def _segments(raws: list[bytes], docs: np.ndarray, rows: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Segments of the texts, their minimisers, the codes of all words, which word of these each segment begins with,
+    and from where to where its words stand in the buffer of the texts."""
+    raw, begin = hashing.join(raws)
+    start, end, codes = _words(raw)
+    none = np.zeros(0, _SEG), np.zeros(0, np.uint64), codes, *[np.zeros(0, np.int64)] * 3
     if len(start) < window:
         return none
-    codes = hashing.Ranges(raw)(start, end)
     doc = np.searchsorted(begin, start, side="right") - 1
     least = _least(_grams(codes), window - _GRAM + 1)
     whole = np.flatnonzero(doc[window - 1 :] == doc[: len(doc) - window + 1])  # windows within one text
@@ -148,7 +161,44 @@ def _segments(raws: list[bytes], docs: np.ndarray, rows: np.ndarray, window: int
     word0 = np.searchsorted(doc, np.arange(len(raws)))
     seg["doc"], seg["row"], seg["at"] = docs[of], rows[of], whole[first] - word0[of]
     seg["n"] = np.diff(np.append(first, len(whole)))
-    return seg, m[first], codes, whole[first]
+    at = whole[first]
+    return seg, m[first], codes, at, start[at], end[at + seg["n"] + window - 2]
+
+
+def _copies(key: np.ndarray, doc: np.ndarray, codes: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Segments by key, then doc, and for each of them where its group of equal segments begins in that order.
+
+    Segments of one key are compared code by code; should two differ, none are taken for equal."""
+    order = np.lexsort((doc, key))
+    head = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+    group = np.flatnonzero(head)[np.cumsum(head) - 1]
+    again = np.flatnonzero(~head)
+    if len(again):
+        mine, lead = order[again], order[group[again]]
+        if (size[mine] != size[lead]).any():
+            return order, np.arange(len(order))
+        n = size[mine]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        if (codes[np.repeat(at[mine], n) + step] != codes[np.repeat(at[lead], n) + step]).any():
+            return order, np.arange(len(order))
+    return order, group
+
+
+def _pack(seg: np.ndarray, words: list[bytes]) -> bytes:
+    """A shard's segments, compressed: how many, their fields one after another, their words."""
+    flat = b"".join([np.int64(len(seg)).tobytes(), *(np.ascontiguousarray(seg[f]).tobytes() for f in _SEG.names), b" ".join(words)])
+    return zstandard.ZstdCompressor(level=3).compress(flat)
+
+
+def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Segments and the codes of their words."""
+    flat = zstandard.ZstdDecompressor().decompress(blob)
+    n, at = int(np.frombuffer(flat, np.int64, 1)[0]), 8
+    seg = np.zeros(n, _SEG)
+    for f in _SEG.names:
+        seg[f] = np.frombuffer(flat, _SEG[f], n, at)
+        at += n * _SEG[f].itemsize
+    return seg, _words(np.frombuffer(flat + b"\n", np.uint8)[at:])[2]
 
 
 def _cut(frames: Iterator[pd.DataFrame], shards: int, window: int) -> Iterator[pd.DataFrame]:
@@ -157,16 +207,14 @@ def _cut(frames: Iterator[pd.DataFrame], shards: int, window: int) -> Iterator[p
         docs, rows = b["doc_id"].to_numpy(np.int64), (b["row"].to_numpy(np.int64) & 0xFFFFFFFF).astype(np.uint32)
         for first, raws in hashing.steps(t.encode("utf-8", "replace") for t in b["text"]):
             part = slice(first, first + len(raws))
-            seg, least, codes, at = _segments(raws, docs[part], rows[part], window)
+            seg, least, codes, at, byte0, byte1 = _segments(raws, docs[part], rows[part], window)
             if not len(seg):
                 continue
             size = seg["n"].astype(np.int64) + window - 1
-            key = hashing.Ranges(hashing.mixed(codes.astype(np.uint64)))(at, at + size)
-            order = np.lexsort((seg["doc"], key))
-            key, doc = key[order], seg["doc"][order]
-            head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            smallest = np.repeat(doc[head], np.diff(np.append(head, len(key))))
-            later = order[doc > smallest]
+            key = hashing.Ranges(hashing.mixed(codes))(at, at + size)
+            order, group = _copies(key, seg["doc"], codes, at, size)
+            repeat = seg["doc"][order] > seg["doc"][order[group]]
+            later = order[repeat]
             out_shard, out_kind, out_blob = [], [], []
             if len(later):
                 known = np.zeros(len(later), _CUT)
@@ -175,19 +223,18 @@ def _cut(frames: Iterator[pd.DataFrame], shards: int, window: int) -> Iterator[p
                 known["end"] = known["at"] + size[later]
                 out_shard.append(int(least[0] % np.uint64(shards)))
                 out_kind.append(1)
-                out_blob.append(known.tobytes())
-            stay = order[doc == smallest]
+                out_blob.append(zstandard.ZstdCompressor(level=3).compress(known.tobytes()))
+            stay = np.sort(order[~repeat])
             shard = (least[stay] >> np.uint64(20)) % np.uint64(shards)
             by = np.argsort(shard, kind="stable")
             stay, shard = stay[by], shard[by]
             edge = np.append(np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])), len(shard))
-            n = size[stay]
-            place = np.concatenate([[0], np.cumsum(n)])
-            flat = codes[np.repeat(at[stay] - place[:-1], n) + np.arange(place[-1])]
+            flat = b"\n".join(raws)
+            words = [flat[s:e] for s, e in zip(byte0[stay].tolist(), byte1[stay].tolist(), strict=True)]
             for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
                 out_shard.append(int(shard[s]))
                 out_kind.append(0)
-                out_blob.append(np.int64(e - s).tobytes() + seg[stay[s:e]].tobytes() + flat[place[s] : place[e]].tobytes())
+                out_blob.append(_pack(seg[stay[s:e]], words[s:e]))
             yield pd.DataFrame({"shard": out_shard, "kind": out_kind, "blob": out_blob})
 
 
@@ -207,9 +254,9 @@ def search(seg: np.ndarray, codes: np.ndarray, window: int = WINDOW) -> np.ndarr
     if not len(keep):
         return np.zeros(0, _CUT)
     seg, size, begin = seg[keep], size[keep], begin[keep]
-    key = hashing.Ranges(hashing.mixed(codes.astype(np.uint64)))(begin, begin + size)
-    order = np.lexsort((seg["doc"], key))
-    is_head = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+    key = hashing.Ranges(hashing.mixed(codes))(begin, begin + size)
+    order, group = _copies(key, seg["doc"], codes, begin, size)
+    is_head = group == np.arange(len(group))
     text_of = np.empty(len(seg), np.int64)
     text_of[order] = np.cumsum(is_head) - 1
     lead = order[is_head]  # of each distinct segment the one with the smallest doc_id
@@ -220,12 +267,12 @@ def search(seg: np.ndarray, codes: np.ndarray, window: int = WINDOW) -> np.ndarr
     values = codes[np.repeat(begin[lead], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
     alphabet, symbols = np.unique(values, return_inverse=True)
     text[spot] = symbols + 1
-    index = FMIndex(text, len(alphabet) + 1)
+    ids, rank = np.unique(seg["doc"][lead], return_inverse=True)
+    index = FMIndex(text, len(alphabet) + 1, np.repeat(rank, n + 1))
     wins = seg["n"][lead].astype(np.int64)
     win0 = np.cumsum(wins) - wins
     at = np.repeat(place, wins) + np.arange(wins.sum()) - np.repeat(win0, wins)
     lo, hi, matched = index.statistics(text, at, window)
-    doc_of = np.repeat(seg["doc"][lead], n + 1)[index.order]
     first = np.repeat(seg["doc"][lead], wins)
     hit = np.flatnonzero(matched >= window)
     if len(hit):
@@ -233,7 +280,8 @@ def search(seg: np.ndarray, codes: np.ndarray, window: int = WINDOW) -> np.ndarr
         ends = np.zeros(len(ranges), np.int64)
         ends[back] = hi[hit]
         pairs = np.stack([ranges, ends], axis=1).ravel()
-        first[hit] = np.minimum.reduceat(np.append(doc_of, np.iinfo(np.int64).max), pairs)[::2][back]
+        least = np.minimum.reduceat(np.append(index.owner, index.owner[:1]), pairs)[::2]
+        first[hit] = ids[least[back]]
     # every segment's windows against the first document that has them; one more, never flagged, ends a segment
     w = seg["n"].astype(np.int64)
     w0 = np.cumsum(w + 1) - (w + 1)
@@ -271,11 +319,11 @@ def _shard(frames: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame
                 yield from close()
                 key = shard
             if kind:
-                yield rows(np.frombuffer(blob, _CUT))
+                yield rows(np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), _CUT))
                 continue
-            n = int(np.frombuffer(blob, np.int64, 1)[0])
-            segs.append(np.frombuffer(blob, _SEG, n, 8))
-            codes.append(np.frombuffer(blob, np.uint64, -1, 8 + n * _SEG.itemsize))
+            seg, words = _unpack(blob)
+            segs.append(seg)
+            codes.append(words)
     yield from close()
 
 
@@ -285,7 +333,8 @@ def repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, name: str
 
     Null, empty and short texts have none (null list).  Rows with a null doc_id keep all
     and make nobody else a repeat.  Rows that share a doc_id never count against each other.
-    Words are compared by 64 bits of their hash, windows by all 13 of them.
+    Whole texts count, however long.  Words are compared by 64 bits of their hash, windows by all
+    13 of them.  A column of ``docs`` named like the result is replaced; any other name may occur.
     """
     if not _GRAM <= window <= 16:
         raise ValueError("a window has 3 to 16 words")
@@ -298,8 +347,8 @@ def repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, name: str
     src = docs.where(doc.isNotNull() & body.isNotNull()).select(doc.alias("doc_id"), row.alias("row"), body.alias("text"))
     dealt = src.mapInPandas(lambda f: _cut(f, shards, window), "shard int, kind int, blob binary").repartition("shard").sortWithinPartitions("shard")
     cuts = materialize(dealt.mapInPandas(lambda f: _shard(f, window), "doc_id long, row long, at int, end int"), "repeats")
-    lists = cuts.groupBy(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).agg(F.collect_list(F.struct("at", "end")).alias(name))
-    return docs.drop(name).join(lists, (doc == F.col("_doc")) & (row == F.col("_row")), "left").drop("_doc", "_row")
+    lists = cuts.groupBy("doc_id", "row").agg(F.collect_list(F.struct("at", "end")).alias(name))
+    return attach(docs, {"doc_id": doc, "row": row}, lists)
 
 
 def kept_words(text: str | None, cuts) -> tuple[list[bytes], int]:
@@ -326,3 +375,20 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256"])
 
     return found.select("doc_id", digest("text", "repeats").alias("d")).select("doc_id", "d.*")
+
+
+ORACLE_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w WHERE len(w) >= 13),
+x AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS g FROM p),
+f AS (SELECT g, min(doc_id) AS least FROM x GROUP BY g),
+hit AS (SELECT x.doc_id, x.i FROM x JOIN f USING (g) WHERE f.least < x.doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS at FROM hit CROSS JOIN range(0, 13) AS t(k)),
+each AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS at FROM w),
+kept AS (
+  SELECT e.doc_id, count(*) AS n, string_agg(e.x, ' ' ORDER BY e.at) AS t
+  FROM each e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.at = g.at GROUP BY e.doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""

@@ -5,12 +5,17 @@ a logistic regression on the features that tell the labels apart best.  In
 labelled texts that name a group of people, the group's name is swapped for
 another of its kind; the fit pays for every change of the score that the swap
 makes, so group names alone cannot carry a verdict, while real evidence can.
+
+Names come from lists in four languages, and from the labelled texts: words that
+many of them hold and whose presence says nothing of the label are taken for
+names that a corpus mentions neutrally, and are swapped for one another.
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,9 +24,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import hashing
-from .common import prepare, table
+from .common import discard, materialize, prepare, table
 
-#: Kinds of group names; a swap stays within a kind.
+#: Kinds of group names (English, German, French, Spanish); a swap stays within a kind.
 GROUPS = (
     ("christian", "muslim", "jewish", "hindu", "buddhist", "sikh", "atheist", "catholic", "protestant"),
     ("christians", "muslims", "jews", "hindus", "buddhists", "sikhs", "atheists", "catholics", "protestants"),
@@ -33,9 +38,28 @@ GROUPS = (
     ("immigrant", "refugee", "foreigner", "native"),
     ("immigrants", "refugees", "foreigners", "natives"),
     ("blind", "deaf", "disabled", "autistic"),
+    ("christen", "muslime", "juden", "hindus", "buddhisten", "atheisten", "katholiken", "protestanten"),
+    ("frau", "mann", "mädchen", "junge"),
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("schwul", "lesbisch", "bisexuell", "heterosexuell", "homosexuell"),
+    ("türken", "araber", "afrikaner", "russen", "polen", "chinesen", "deutsche", "franzosen"),
+    ("einwanderer", "flüchtlinge", "ausländer", "einheimische"),
+    ("chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées", "catholiques", "protestants"),
+    ("femme", "homme", "fille", "garçon"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("homosexuel", "lesbienne", "bisexuel", "hétérosexuel"),
+    ("arabes", "africains", "russes", "polonais", "chinois", "allemands", "turcs"),
+    ("immigrés", "réfugiés", "étrangers"),
+    ("cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos", "católicos"),
+    ("mujer", "hombre", "niña", "niño"),
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("árabes", "africanos", "rusos", "polacos", "chinos", "alemanes", "turcos", "mexicanos"),
+    ("inmigrantes", "refugiados", "extranjeros"),
 )
-_SWAP = {t: [u for u in g if u != t] for g in GROUPS for t in g}
-_TERM = re.compile(r"(?<![^\W_])(" + "|".join(sorted(_SWAP, key=len, reverse=True)) + r")(?![^\W_])")
+#: Learnt names: at most so many, in kinds of so many; each in this share of the labelled texts at least, and this
+#: near to the same share of both labels (in standard deviations).
+NAMES, KIND, OFTEN, NEUTRAL = 64, 8, 0.01, 1.0
+
 
 BITS = 20
 PREFIXES = (4, 5, 6, 7, 8)
@@ -81,12 +105,47 @@ def features(texts: list[str | None], lut: np.ndarray | None = None) -> tuple[np
     return both >> 32, both & 0xFFFFFFFF
 
 
-def swapped(text: str) -> str | None:
-    """The text with every group name replaced by the next of its kind, or None if it has none."""
-    low = text.lower()
-    if not _TERM.search(low):
-        return None
-    return _TERM.sub(lambda m: _SWAP[m[0]][len(low) % len(_SWAP[m[0]])], low)
+class Swaps:
+    """Exchanges every name of the given kinds for another of its kind."""
+
+    def __init__(self, kinds: Iterable[Iterable[str]] = GROUPS):
+        self.of: dict[str, list[str]] = {}
+        for kind in kinds:
+            kind = list(kind)
+            for i, t in enumerate(kind):
+                if others := [*kind[i + 1 :], *kind[:i]]:
+                    self.of.setdefault(t, others)
+        self.word = re.compile(r"[^\W_]+")
+
+    def __call__(self, text: str) -> str | None:
+        """The text, lower-cased, with every name exchanged, or None if it has none."""
+        low, n = text.lower(), 0
+
+        def other(m: re.Match) -> str:
+            nonlocal n
+            if (them := self.of.get(m[0])) is None:
+                return m[0]
+            n += 1
+            return them[len(low) % len(them)]
+
+        out = self.word.sub(other, low)
+        return out if n else None
+
+
+def learnt(counts: list[tuple[str, int, int]], texts: int, toxic: int) -> list[tuple[str, ...]]:
+    """Kinds of names that the labelled texts mention neutrally, from (word, texts with it, toxic ones among them).
+
+    The most frequent of the words that are neutral, those of like frequency as one kind."""
+    known = {t for g in GROUPS for t in g}
+    chosen = []
+    for word, n, n1 in counts:
+        share = toxic / max(texts, 1)
+        spread = math.sqrt(max(n * share * (1 - share) * max(texts - n, 1) / max(texts, 1), 1e-9))
+        if n >= max(OFTEN * texts, LEAST) and abs(n1 - n * share) <= NEUTRAL * spread and word not in known:
+            chosen.append((-n, word))
+    words = [w for _, w in sorted(chosen)[:NAMES]]
+    kinds = [tuple(words[i : i + KIND]) for i in range(0, len(words), KIND)]
+    return [k for k in kinds if len(k) > 1]
 
 
 @dataclass
@@ -94,6 +153,7 @@ class Model:
     lut: np.ndarray  # int16: hashed feature to model feature or -1
     weights: np.ndarray
     bias: float
+    swapped: int = 0  # labelled texts that had a counterfactual
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         d, f = features(texts, self.lut)
@@ -101,11 +161,30 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit(texts: list[str], labels: np.ndarray, class_weight: tuple[float, float] = (1.0, 1.0), swaps: float = SWAPS, ridge: float = RIDGE) -> Model:
+def choose(count: np.ndarray, n0: int, n1: int) -> np.ndarray:
+    """lut of the features that tell the labels apart best; ``count`` is (label, hashed feature) texts."""
+    p1, p0 = (count[1] + 0.5) / (n1 + 1), (count[0] + 0.5) / (n0 + 1)
+    pooled = (count[1] + count[0] + 1) / (n1 + n0 + 2)
+    z = (p1 - p0) / np.sqrt(pooled * (1 - pooled) * (1 / (n1 + 1) + 1 / (n0 + 1)))
+    z[count.sum(axis=0) < LEAST] = 0
+    best = np.argsort(-np.abs(z), kind="stable")[:FEATURES]
+    best = np.sort(best[np.abs(z[best]) >= 3.0])
+    lut = np.full(1 << BITS, -1, np.int16)
+    lut[best] = np.arange(len(best))
+    return lut
+
+
+def fit(texts: list[str], labels: np.ndarray, class_weight: tuple[float, float] = (1.0, 1.0), swaps: float = SWAPS, ridge: float = RIDGE, kinds: Iterable[Iterable[str]] = GROUPS) -> Model:
     """Fit on plain texts (for tests and small corpora); ``train`` feeds the same routine from executors."""
-    pairs = [np.unique(features([t])[1]) for t in texts]
-    other = [None if (s := swapped(t)) is None else np.unique(features([s])[1]) for t in texts]
-    return _fit(pairs, other, np.asarray(labels), class_weight, swaps, ridge)
+    y, exchange = np.asarray(labels), Swaps(kinds)
+    have = [np.unique(features([t])[1]) for t in texts]
+    other = [None if (s := exchange(t)) is None else np.unique(features([s])[1]) for t in texts]
+    count = np.zeros((2, 1 << BITS), np.int32)
+    for f, c in zip(have, y, strict=True):
+        count[int(c), f] += 1
+    lut = choose(count, int((y == 0).sum()), int((y == 1).sum()))
+    mine = lambda f: None if f is None else lut[f][lut[f] >= 0]
+    return _fit(lut, [mine(f) for f in have], [mine(f) for f in other], y, class_weight, swaps, ridge)
 
 
 class _Rows:
@@ -123,31 +202,19 @@ class _Rows:
         return np.bincount(self.col, r[self.row], minlength=self.width)
 
 
-def _fit(have: list[np.ndarray], other: list[np.ndarray | None], y: np.ndarray, class_weight: tuple[float, float], swaps: float, ridge: float) -> Model:
-    none = Model(np.full(1 << BITS, -1, np.int16), np.zeros(0), -500.0)
-    n1, n0 = int((y == 1).sum()), int((y == 0).sum())
-    if not n1:
-        return none
-    count = np.zeros((2, 1 << BITS), np.int32)
-    for f, c in zip(have, y, strict=True):
-        count[int(c), f] += 1
-    p1, p0 = (count[1] + 0.5) / (n1 + 1), (count[0] + 0.5) / (n0 + 1)
-    pooled = (count[1] + count[0] + 1) / (n1 + n0 + 2)
-    z = (p1 - p0) / np.sqrt(pooled * (1 - pooled) * (1 / (n1 + 1) + 1 / (n0 + 1)))
-    z[count.sum(axis=0) < LEAST] = 0
-    best = np.argsort(-np.abs(z), kind="stable")[:FEATURES]
-    best = np.sort(best[np.abs(z[best]) >= 3.0])
-    lut = np.full(1 << BITS, -1, np.int16)
-    lut[best] = np.arange(len(best))
-
-    x = _Rows([lut[f][lut[f] >= 0] for f in have], len(best))
-    changed = [(lut[h][lut[h] >= 0], lut[o][lut[o] >= 0]) for h, o in zip(have, other, strict=True) if o is not None]
-    here, there = _Rows([c[0] for c in changed], len(best)), _Rows([c[1] for c in changed], len(best))
+def _fit(lut: np.ndarray, have: list[np.ndarray], other: list[np.ndarray | None], y: np.ndarray, class_weight: tuple[float, float], swaps: float, ridge: float) -> Model:
+    """``have`` and ``other`` hold model features."""
+    if not (y == 1).any():
+        return Model(np.full(1 << BITS, -1, np.int16), np.zeros(0), -500.0)
+    width = int(lut.max()) + 1
+    x = _Rows(have, width)
+    changed = [(h, o) for h, o in zip(have, other, strict=True) if o is not None]
+    here, there = _Rows([c[0] for c in changed], width), _Rows([c[1] for c in changed], width)
     cw = np.where(y == 1, class_weight[1], class_weight[0])
     cw = cw / cw.sum()
-    w, b = np.zeros(len(best)), float(np.log((cw[y == 1].sum() + 1e-9) / (cw[y == 0].sum() + 1e-9)))
+    w, b = np.zeros(width), float(np.log((cw[y == 1].sum() + 1e-9) / (cw[y == 0].sum() + 1e-9)))
     # Accelerated gradient steps; the step comes from a bound on the curvature, so there is nothing to tune.
-    probe, top = np.ones(len(best) + 1), 1.0
+    probe, top = np.ones(width + 1), 1.0
     for _ in range(20):
         u = (x.dot(probe[:-1]) + probe[-1]) * cw
         probe = np.append(x.sum(u), u.sum())
@@ -166,7 +233,7 @@ def _fit(have: list[np.ndarray], other: list[np.ndarray | None], y: np.ndarray,
         nw, nb = tw - gw / bound, tb - float(r.sum()) / bound
         m = (t - 1) / (t + 2)
         tw, tb, w, b = nw + m * (nw - w), nb + m * (nb - b), nw, nb
-    return Model(lut, w.astype(np.float64), float(b))
+    return Model(lut, w.astype(np.float64), float(b), len(changed))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -177,8 +244,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, swaps: float
     """Fit on at most ``sample`` labelled rows of each class, none of them held out.
 
     Only texts and ``labels.toxic`` are read.  A document with several labels counts as
-    toxic if one says so; null labels, ids and texts teach nothing.  Without a toxic row
-    the model scores 0 everywhere.
+    toxic if one says so; null labels, ids and texts teach nothing, and of texts that share an
+    id the least teaches.  Whole texts teach, however long.  Without a toxic row (an empty table
+    too) the model scores 0 everywhere.  Other columns of both tables are not read.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -189,27 +257,58 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, swaps: float
         part = known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
     ids = spark.createDataFrame(chosen.toPandas(), "doc_id long, toxic int")  # 2 * sample rows at most
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
+    # one text an id; from here on all work is bounded by the sample
+    texts = materialize(read.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic")), "labelled")
+    n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n0, n1 = n.get(0, 0), n.get(1, 0)
+    word = texts.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]{3,}"), F.lit(0)))).alias("word"))
+    often = word.groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("n1")).where(F.col("n") >= max(OFTEN * (n0 + n1), LEAST))
+    often = often.orderBy(F.desc("n"), "word").limit(64 * NAMES).collect()
+    kinds = [*GROUPS, *learnt([tuple(r) for r in often], n0 + n1, n1)]
+
+    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count = np.zeros((2, 1 << BITS), np.int32)
+        for b in batches:
+            for t, c in zip(b["text"], b["toxic"], strict=True):
+                count[int(c), features([t])[1]] += 1
+        f = np.flatnonzero(count.any(axis=0))
+        yield pd.DataFrame({"f": f, "n0": count[0][f], "n1": count[1][f]})
+
+    sums = texts.select("text", "toxic").mapInPandas(tally, "f int, n0 int, n1 int").groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    sums = sums.where(F.col("n0") + F.col("n1") >= LEAST).toPandas()  # 2 ** BITS rows at most
+    count = np.zeros((2, 1 << BITS), np.int64)
+    for c, name in enumerate(("n0", "n1")):
+        count[c, sums["f"].to_numpy(np.int64)] = sums[name].to_numpy(np.int64)
+    lut = choose(count, n0, n1)
+    shared = spark.sparkContext.broadcast(lut)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        exchange = Swaps(kinds)
         for b in batches:
             rows = []
             for t, c in zip(b["text"], b["toxic"], strict=True):
-                s = swapped(t)
-                rows.append((int(c), features([t])[1].astype(np.uint32).tobytes(), None if s is None else features([s])[1].astype(np.uint32).tobytes()))
+                s = exchange(t)
+                rows.append((int(c), *(None if x is None else features([x], shared.value)[1].astype(np.uint16).tobytes() for x in (t, s))))
             yield pd.DataFrame(rows, columns=["toxic", "have", "other"])
 
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id")
-    got = read.select("doc_id", "text", "toxic").mapInPandas(run, "toxic int, have binary, other binary").collect()
-    got.sort(key=lambda r: (r["toxic"], r["have"]))  # the fit must not depend on the order of tasks
-    have = [np.frombuffer(r["have"], np.uint32).astype(np.int64) for r in got]
-    other = [None if r["other"] is None else np.frombuffer(r["other"], np.uint32).astype(np.int64) for r in got]
+    # 2 * sample rows of FEATURES numbers of two bytes at most
+    got = texts.select("text", "toxic").mapInPandas(run, "toxic int, have binary, other binary").collect()
+    got.sort(key=lambda r: (r["toxic"], r["have"], r["other"] or b""))  # the fit must not depend on the order of tasks
+    have = [np.frombuffer(r["have"], np.uint16).astype(np.int64) for r in got]
+    other = [None if r["other"] is None else np.frombuffer(r["other"], np.uint16).astype(np.int64) for r in got]
     y = np.fromiter((r["toxic"] for r in got), np.int64, len(got))
     weight = tuple(max(1.0, sizes.get(c, 0) / sample) for c in (0, 1))
-    return _fit(have, other, y, weight, swaps, RIDGE)
+    discard(texts)
+    return _fit(lut, have, other, y, weight, swaps, RIDGE)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "toxicity") -> DataFrame:
-    """All columns of ``docs`` and the score (0 to 1); null and empty texts get the score of no evidence."""
+    """All columns of ``docs`` and the score (0 to 1); null and empty texts get the score of no evidence.
+
+    Row by row, whole texts: repeated rows and equal texts get equal scores, an empty table gives no rows, a
+    column named like the result is replaced, and other names may clash with nothing.
+    """
     spark = docs.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast((model.lut, model.weights, model.bias))

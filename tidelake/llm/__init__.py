@@ -22,5 +22,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_url_filter": url_filter.ORACLE_SQL,
+    "op5_substrings": substring.ORACLE_SQL,
+    "op9_mix": mixing.ORACLE_SQL,
     "op10_topk": topk.ORACLE_SQL,
 }

@@ -4,19 +4,23 @@ Candidates of the battery are long runs of key-like characters outside the
 patterns' spans.  For each, an encoding is inferred (the smallest alphabet that
 holds it); three tests then ask whether it looks like uniform draws from that
 alphabet: a chi-squared test of symbol counts, a runs test about the median
-symbol and a serial-correlation test.  What passes is compared with ordinary
-text: the likelihood ratio of random draws to a text-like chain of character
-classes is an e-value (its mean is 1 under the chain), so it grows with length
-and short tokens must be clearer to count.  The e-values of a document's
-candidates go through the e-BH procedure, which holds the false-discovery rate
-under any dependence.
+symbol and a serial-correlation test.  A test that rejects randomness ends the
+matter.  The evidence of what passes is the mean of four e-values, each with mean
+1 at most where the token is ordinary text, and a mean of e-values is one under
+any dependence: for each test, the density of its statistic under random draws
+against one that is wider by the root of the token's length; and the likelihood
+ratio of random draws to a text-like chain of character classes.  Both grow with
+length, so short tokens must be clearer to count.  The e-values of all candidates
+of the corpus go through one e-BH procedure, which holds the false-discovery rate
+under any dependence: a first pass counts them by size (in a bounded number of
+steps, rounded down), from which the least size that counts follows.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +59,8 @@ STAY = 0.85
 REJECT = 0.001
 #: Share of false discoveries that the battery may make.
 FDR = 0.001
+#: Steps of a log e-value of 1 by which candidates are counted, and the last step.
+STEPS, MOST_STEPS = 16, 1 << 14
 
 KINDS = {k: i for i, (k, *_) in enumerate(BASE)} | {"random": len(BASE)}
 
@@ -73,8 +79,12 @@ def _tail(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
 
+def _class(c: str) -> int:
+    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
+
+
 def looks_random(token: str) -> tuple[str, float] | None:
-    """Encoding and e-value against ordinary text, or None if a test rejects randomness."""
+    """Encoding and log e-value against ordinary text, or None if a test rejects randomness."""
     body = token.rstrip("=")
     found = next(((name, a) for name, a in ALPHABETS if all(c in a for c in body)), None)
     if found is None or body.isdigit():
@@ -85,7 +95,8 @@ def looks_random(token: str) -> tuple[str, float] | None:
     for v in x:
         counts[v] = counts.get(v, 0) + 1
     chi = sum(c * c for c in counts.values()) * k / n - n  # mean k - 1, variance 2 (k - 1) (n - 1) / n
-    if _tail(max(0.0, (chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n))) < REJECT:
+    uniform = (chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)
+    if _tail(max(0.0, uniform)) < REJECT:
         return None
     above = [2 * v >= k for v in x]
     up = sum(above)
@@ -98,83 +109,137 @@ def looks_random(token: str) -> tuple[str, float] | None:
         return None
     m = sum(x) / n
     var = sum((v - m) ** 2 for v in x)
-    if var == 0 or _tail(sum((a - m) * (b - m) for a, b in zip(x, x[1:], strict=False)) / var * math.sqrt(n)) < REJECT:
+    if var == 0:
+        return None
+    serial = sum((a - m) * (b - m) for a, b in zip(x, x[1:], strict=False)) / var * math.sqrt(n)
+    if _tail(serial) < REJECT:
         return None
-    classes = [0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 for c in body]
+    wide = math.log(n) / 2
+    logs = [wide - z * z / 2 * (1 - 1 / n) for z in (uniform, (runs - mean) / math.sqrt(spread), serial)]
     shares = [0.0] * 4
     for c in alphabet:
-        shares[0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3] += 1 / k
-    gain = 0.0
-    for a, b in zip(classes, classes[1:], strict=False):
-        gain += math.log(shares[b] / (STAY if a == b else (1 - STAY) / 3))
-    return name, gain
+        shares[_class(c)] += 1 / k
+    classes = [_class(c) for c in body]
+    logs.append(sum(math.log(shares[b] / (STAY if a == b else (1 - STAY) / 3)) for a, b in zip(classes, classes[1:], strict=False)))
+    top = max(logs)
+    return name, top + math.log(sum(math.exp(v - top) for v in logs) / len(logs))
 
 
-def random_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Spans that the battery adds: candidates that overlap no base span, by e-BH at FDR."""
-    tested = []
+def candidates(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[float, int, int]]:
+    """(log e-value, start, end) of all candidates that overlap no base span; -inf where a test rejects randomness."""
+    tested, at, until = [], 0, 0
     for m in CANDIDATE.finditer(text):
-        if any(s < m.end() and m.start() < e for s, e, _ in taken):
+        while at < len(taken) and taken[at][0] < m.end():  # both in order of start
+            until = max(until, taken[at][1])
+            at += 1
+        if until > m.start():
             continue
         if (found := looks_random(m[0])) is not None:
             tested.append((found[1], m.start(), m.end()))
             continue
         tested.append((-math.inf, m.start(), m.end()))
-        done: list[tuple[int, int]] = []
+        body = m[0].rstrip("=")
+        done = bytearray(len(body))
         for joint in _JOINTS:  # the parts that an alphabet may hold, then the smallest
-            for part in joint.finditer(m[0].rstrip("=")):
-                s, e = m.start() + part.start(), m.start() + part.end()
-                if LEAST <= e - s < len(m[0]) and not any(a < e and s < b for a, b in done):
+            for part in joint.finditer(body):
+                s, e = part.span()
+                if LEAST <= e - s < len(m[0]) and done.find(1, s, e) < 0:
                     found = looks_random(part[0])
-                    tested.append((found[1] if found else -math.inf, s, e))
+                    tested.append((found[1] if found else -math.inf, m.start() + s, m.start() + e))
                     if found:
-                        done.append((s, e))
-    tested.sort(reverse=True)
-    keep = 0
-    for i, (gain, *_) in enumerate(tested, 1):
-        if gain >= math.log(len(tested) / (FDR * i)):
-            keep = i
-    return [(s, e, "random") for _, s, e in tested[:keep]]
+                        done[s:e] = b"\1" * (e - s)
+    return tested
+
+
+def step_of(gain: float) -> int:
+    """The step, rounded down, by which a log e-value is counted; -1 for none."""
+    return -1 if gain < 0 else min(int(gain * STEPS), MOST_STEPS)
+
+
+def cutoff(counts: dict[int, int]) -> float:
+    """The least log e-value that counts by e-BH at FDR, from how many candidates of the corpus stand at each step."""
+    total, seen, least = sum(counts.values()), 0, math.inf
+    for step in sorted((s for s in counts if s >= 0), reverse=True):
+        seen += counts[step]
+        if step / STEPS >= math.log(total / (FDR * seen)):
+            least = step / STEPS
+    return least
+
+
+def tally(texts: Iterable[str | None], counts: dict[int, int]) -> None:
+    """Adds the candidates of the texts to the counts by step."""
+    for t in texts:
+        if t:
+            for gain, *_ in candidates(t, base_spans(t)):
+                counts[step_of(gain)] = counts.get(step_of(gain), 0) + 1
+
 
+def spans(text: str | None, least: float | None = None) -> list[tuple[int, int, str]]:
+    """All spans of a text in code points, by start, then kind; a null text has none.
 
-def spans(text: str | None) -> list[tuple[int, int, str]]:
-    """All spans of a text in code points, by start, then kind; a null text has none."""
+    ``least`` is the corpus's cutoff(); without it the text is a corpus of its own.
+    """
     if not text:
         return []
     base = base_spans(text)
-    return sorted(base + random_spans(text, base), key=lambda s: (s[0], KINDS[s[2]]))
+    tested = candidates(text, base)
+    if least is None:
+        counts: dict[int, int] = {}
+        for gain, *_ in tested:
+            counts[step_of(gain)] = counts.get(step_of(gain), 0) + 1
+        least = cutoff(counts)
+    return sorted(base + [(s, e, "random") for gain, s, e in tested if gain >= least], key=lambda s: (s[0], KINDS[s[2]]))
+
+
+def corpus_cutoff(docs: DataFrame, text: str = "text") -> float:
+    """cutoff() of all texts of ``docs``; MOST_STEPS counts at most reach the driver."""
+    prepare(docs.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: dict[int, int] = {}
+        for b in batches:
+            tally(b["text"], counts)
+        yield pd.DataFrame({"step": list(counts), "n": list(counts.values())}, dtype="int64")
+
+    sums = docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInPandas(run, "step long, n long").groupBy("step").agg(F.sum("n").alias("n"))
+    return cutoff({r["step"]: r["n"] for r in sums.collect()})
 
 
 def scan(docs: DataFrame, text: str = "text", name: str = "secrets") -> DataFrame:
-    """All columns of ``docs`` and ``secrets``: array of (start, end, kind), empty for clean and null texts.
+    """All columns of ``docs`` and ``secrets``: array of (start, end, kind), empty for clean, empty and null texts.
 
-    Row by row: repeated rows get equal results, other columns are passed through;
-    a column of ``docs`` named like the result is replaced.
+    Whole texts, however long; equal texts and repeated rows get equal results, an empty table gives no rows.
+    Of spans with one start the kind as listed goes first.  Other columns are passed through; a column of
+    ``docs`` named like the result is replaced.
     """
-    prepare(docs.sparkSession)
+    least = corpus_cutoff(docs, text)
 
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield pd.Series([[{"start": s, "end": e, "kind": k} for s, e, k in spans(t)] for t in part])
+            yield pd.Series([[{"start": s, "end": e, "kind": k} for s, e, k in spans(t, least)] for t in part])
 
     found = F.pandas_udf(run, "array<struct<start: int, end: int, kind: string>>")
     return docs.withColumn(name, found(F.col(text)))
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span of secrets in its text (overlapping ones as one) replaced by the mark; null stays null."""
-    prepare(docs.sparkSession)
+    """``docs`` with every span of secrets in its text (overlapping ones as one) replaced by the mark; null stays null.
+
+    Whole texts, however long; equal texts stay equal, an empty table gives no rows, and all other columns, whatever
+    their names, are passed through.
+    """
+    least = corpus_cutoff(docs, text)
 
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield part.map(lambda t: hide(t, mark), na_action="ignore")
+            yield part.map(lambda t: hide(t, mark, least), na_action="ignore")
 
     return docs.withColumn(text, F.pandas_udf(run, "string")(F.col(text)))
 
 
-def hide(text: str, mark: str) -> str:
+def hide(text: str, mark: str, least: float | None = None) -> str:
     out, at = [], 0
-    for s, e, _ in spans(text):
+    for s, e, _ in spans(text, least):
         if e <= at:
             continue
         if s >= at:

@@ -3,8 +3,8 @@
 Lengths are whole numbers up to the capacity, so all that the packer must know
 is how many pieces have each length: at most ``capacity`` counts, however large
 the corpus.  On those counts it first applies Martello and Toth's dominance
-rule: a set that holds the largest open piece and dominates every other set
-with that piece is fixed for good and leaves the instance.  Best-fit decreasing
+rule: a set of up to three that holds the largest open piece and dominates every
+other set with that piece is fixed for good and leaves the instance.  Best-fit decreasing
 packs what remains.  The plan (a few thousand ranges of ranks at most) goes to
 the executors, where each piece finds its place by its rank among the pieces of
 its length; ranks come from two-level counts, so no length, however common, is
@@ -18,6 +18,7 @@ import re
 import sys
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -165,6 +166,37 @@ class Plan:
         return pd.DataFrame(rows, columns=["length", "rank", "sequence", "offset"]).sort_values(["length", "rank"], ignore_index=True)
 
 
+def _three(left: dict[int, int], big: int, best: int, room: int) -> tuple[int, ...] | None:
+    """What beside ``big`` and ``best``, the largest piece that fits with it, makes a set that dominates all others with
+    ``big``: () for nothing more, (third,) for one more piece, None where no such set is known.
+
+    Only where no three pieces fit beside the big one.  One piece as large as any two that fit together dominates
+    them; otherwise the best and the largest third piece do, if no two pieces larger than the third fit together.
+    """
+    free = Counter(left)
+    free[big] -= 1
+    sizes = sorted(n for n in free if 0 < n <= room and free[n] > 0)
+    smallest = [n for n in sizes[:3] for _ in range(min(free[n], 3))][:3]
+    if len(smallest) == 3 and sum(smallest) <= room:
+        return None
+    top, hi = 0, len(sizes) - 1  # the largest sum of two that fit
+    for lo, n in enumerate(sizes):
+        while hi > lo and sizes[hi] + n > room:
+            hi -= 1
+        if hi < lo or hi == lo and (free[n] < 2 or 2 * n > room):
+            break
+        top = max(top, sizes[hi] + n)
+    if best >= top:
+        return ()
+    free[best] -= 1
+    third = max((n for n in sizes if free[n] > 0 and n <= room - best), default=0)
+    if not third:
+        return None
+    larger = [n for n in sizes if n > third and free[n] > 0][:2]
+    larger = [n for n in larger for _ in range(min(free[n], 2))][:2]
+    return (third,) if len(larger) < 2 or sum(larger) > room else None
+
+
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
     """Pack ``count`` pieces of each ``length``: dominance reduction, then best-fit decreasing."""
     left = {n: c for n, c in histogram.items() if c > 0}
@@ -192,6 +224,15 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
                         if not left[n]:
                             left.pop(n)
                     continue
+            if (trio := _three(left, big, best, room)) is not None:
+                lengths = Counter((big, best, *trio))
+                times = min(left[n] // k for n, k in lengths.items())
+                out.add(sorted(lengths.items(), reverse=True), times)
+                for n, k in lengths.items():
+                    left[n] -= times * k
+                    if not left[n]:
+                        left.pop(n)
+                continue
             rest[big] = left.pop(big)
     # Best fit, decreasing: `open_` maps free room to bins [(runs, count)].
     open_: dict[int, list[tuple[tuple[tuple[int, int], ...], int]]] = {}

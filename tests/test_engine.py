@@ -3,6 +3,7 @@
 import glob
 import math
 import os
+import random
 
 import duckdb
 import pytest
@@ -130,9 +131,60 @@ def test_walk_forward(spark):
     df = spark.range(240).select(F.col("id").alias("window_end"), (F.col("id") % 5).cast("double").alias("x.1"), F.rand(3).alias("y"), ((F.col("id") % 5) > 2).cast("tinyint").alias("label"))
     got = evaluate.walk_forward(df, ["x.1", "y"], "label", "window_end", evaluate.Setup(50, 120, 60, 5, 0.1, 3, 0.5, 0.5), trees=5).collect()
     assert len(got) == 2 and all(r["accuracy"] > 0.9 for r in got)
+    assert all(r["features"] == ["x.1"] for r in got)  # the random column gains less than the median
     assert evaluate.summary(spark.createDataFrame(got), ["accuracy"]).first()["total_pnl"] < 0
 
 
+def test_final_model_is_saved_with_its_features_and_results(spark, tmp_path):
+    df = spark.range(240).select(F.col("id").alias("window_end"), (F.col("id") % 5).cast("double").alias("x.1"), F.rand(3).alias("y"), ((F.col("id") % 5) > 2).cast("tinyint").alias("label"))
+    setup = evaluate.Setup(50, 120, 60, 5, 0.1, 3, 0.5, 0.5)
+    model, kept = evaluate.refit(df, ["x.1", "y"], "label", setup, trees=5)
+    results = evaluate.walk_forward(df, ["x.1", "y"], "label", "window_end", setup, trees=5)
+    evaluate.save(model, kept, results, str(tmp_path / "m"))
+    again, names = evaluate.load(spark, str(tmp_path / "m"))
+    assert names == kept == ["x.1"]
+    pick = lambda m: [r[0] for r in evaluate.predict(m, evaluate.with_features(df, names, "label"), 0.5).orderBy("window_end").select("probability_up").collect()]
+    assert pick(again) == pick(model)
+    assert spark.read.option("header", True).csv(str(tmp_path / "m" / "results")).count() == 2 and spark.read.json(str(tmp_path / "m" / "summary")).first()["accuracy_mean"] > 0.9
+
+
+def test_previous_rows_and_places_over_pieces_of_time(spark):
+    r = random.Random(3)
+    rows = [(k, g, r.randrange(10**6), r.choice([None, 1.0, 2.0])) for k in range(500) for g in [r.choice("ab")]]
+    df = spark.createDataFrame(rows, "id long, g string, t long, x double")
+    got = {x["id"]: x for x in W.with_previous(df, "t", ["t", "id"], {"p": F.struct("id"), "q": F.col("x")}, ["g"], chunk=10_000).collect()}
+    place = {x["id"]: x["n"] for x in W.places(df.withColumn("t", F.col("t") * 1000 + F.col("id")), "t", "n", ["g"], chunk=10**7).collect()}
+    assert len(got) == len(place) == 500
+    for g in "ab":
+        before, known = None, None
+        for n, (k, _, _, x) in enumerate(sorted((x for x in rows if x[1] == g), key=lambda x: (x[2], x[0]))):
+            assert (got[k]["p"]["id"] if got[k]["p"] else None, got[k]["q"], place[k]) == (before, known, n)
+            before, known = k, known if x is None else x
+
+
+@pytest.mark.parametrize("name", ["trades_ticks_1h", "trades_rate_1h", "book_metrics_1h"])
+def test_no_task_orders_all_raw_rows(spark, sf, name):
+    """Below an exchange to one partition there are aggregates only: one row a piece of time."""
+    plan = registry.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString().split("\n")
+    at = [i for i, line in enumerate(plan) if "SinglePartition" in line]
+    assert at and all("Aggregate" in plan[i + 1] for i in at)
+
+
+def test_merge_fails_on_two_rows_of_one_time(spark):
+    a = spark.createDataFrame([(1, 1.0), (1, 2.0)], "window_end long, x double")
+    with pytest.raises(Exception, match="two rows of one time"):
+        gold.merge({"a_": a, "b_": a.limit(1)}).collect()
+
+
+def test_training_sets_are_written(spark, tmp_path):
+    rows = [(k * 300_000, float(k), None if k == 3 else 1.0, 1) for k in range(30)]
+    df = spark.createDataFrame(rows, "window_end long, orderbook_1h_wmp_last double, orderbook_5m_wmp_last double, label_1h int")
+    out = diamond.write_datasets(df, str(tmp_path), ("5m", "1h"))
+    small, large = spark.read.parquet(out["5m"]), spark.read.parquet(out["1h"])
+    assert (small.count(), large.count()) == (29, 3)
+    assert small.columns == ["orderbook_1h_wmp_last", "orderbook_5m_wmp_last", "window_end"] and large.columns == ["label_1h", "orderbook_1h_wmp_last", "window_end"]
+
+
 def test_repair(spark):
     df = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (2, 0, "c")], "k long, seq int, v string")
     once = bronze.dedupe(df, ["k"], ["seq"], "last")

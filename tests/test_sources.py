@@ -111,3 +111,151 @@ def test_candles_end_with_their_last_values(spark, tmp_path):
 
 def test_fixtures_have_both_sides(spark, sf):
     assert fixtures.book_feed(spark, sf).where("action = 'update'").count() > 0
+
+
+def test_unreadable_files_are_left_out_and_told(spark, tmp_path):
+    root = str(tmp_path)
+    lake.write(rows(spark, [0, DAY]), root, "trades")
+    bad = tmp_path / "bronze" / "trades" / "symbol=X" / "dt=1970-01-02"
+    (bad / "bad.parquet").write_bytes(b"no parquet at all")
+    (bad / "empty.parquet").write_bytes(b"")
+    assert lake.read(spark, root, "trades", skip_unreadable=True).count() == 2
+    assert sorted(r["path"].rsplit("/", 1)[1] for r in lake.unreadable(spark, root, "trades").collect()) == ["bad.parquet", "empty.parquet"]
+
+
+def test_repair_with_backup_and_clean_source(spark, tmp_path):
+    root, target = str(tmp_path / "a"), str(tmp_path / "b")
+    wrong = rows(spark, [DAY, DAY, DAY + 5]).withColumn("trade_id", F.lit(1).cast("long")).unionByName(rows(spark, [0, DAY + 9])).withColumn("dt", F.when(F.col("created_time") == DAY + 9, F.lit("1970-01-02").cast("date")).otherwise(F.lit("1970-01-01").cast("date")))
+    wrong = wrong.withColumn("dt", F.when(F.col("created_time") == 0, F.lit("1970-01-05").cast("date")).otherwise(F.col("dt")))
+    wrong.write.partitionBy("symbol", "dt").parquet(lake.path(root, "bronze", "trades"))
+    got = lake.repair(spark, root, target, version="v1", clean=True).collect()
+    assert [tuple(r) for r in got] == [("trades", 5, 4, 1, 3, 2)]
+    assert lake.read(spark, target, "trades").groupBy("trade_id").count().where("count > 1").isEmpty()
+    assert lake.read(spark, root, "trades", "_backup/v1").count() == 5
+    assert {str(r["dt"]) for r in lake.read(spark, root, "trades").select("dt").distinct().collect()} == {"1970-01-02"}
+
+
+TRANSPORT = """
+import json
+
+def pages(feed, symbol, interval, after):
+    # ten trades a millisecond, newest first; some pages hold a record that doesn't parse
+    out = []
+    t = after - 1
+    while t >= 0 and len(out) < 100:
+        for k in range(9, -1, -1):
+            if len(out) < 100:
+                out.append({"tradeId": str(t * 10 + k), "side": "buy", "px": "bad" if (t, k) == (30, 3) else "1", "sz": "2", "ts": str(t)})
+        t -= 1
+    return out
+
+def broken(feed, symbol, interval, after):
+    return [{"tradeId": "x"}] * 100
+
+def exists(date):
+    if date.endswith("05"):
+        raise OSError("gone")
+    return date != "2024-01-02"
+
+SENT = [json.dumps({"arg": {"channel": "trades", "instId": "X"}, "data": [{"tradeId": str(i), "side": "buy", "px": "1.5", "sz": "2", "ts": str(1704067200000 + i * 60000)}]}) for i in range(30)]
+failures = [2]
+
+def receive(subscription, offset):
+    assert json.loads(subscription)["args"] == [{"channel": "trades", "instId": "X"}]
+    if failures[0]:
+        failures[0] -= 1
+        raise OSError("lost")
+    part = SENT[offset : offset + 7]
+    return part, offset + len(part)
+"""
+
+
+def transport(spark, tmp_path, monkeypatch):
+    import os
+    import sys
+
+    (tmp_path / "exchange_transport.py").write_text(TRANSPORT)
+    monkeypatch.syspath_prepend(str(tmp_path))
+    spark.sparkContext.addPyFile(str(tmp_path / "exchange_transport.py"))
+    monkeypatch.setenv("PYTHONPATH", os.pathsep.join([str(tmp_path), *sys.path]))
+
+
+def test_backfill_through_spark_with_many_rows_a_millisecond(spark, tmp_path, monkeypatch):
+    transport(spark, tmp_path, monkeypatch)
+    got = [r["trade_id"] for r in rest.backfill(spark, "trades", [(5, 45), (60, 61)], "exchange_transport.pages", "X").collect()]
+    want = [t * 10 + k for t in [*range(5, 46), 60, 61] for k in range(10) if (t, k) != (30, 3)]
+    assert sorted(got) == want
+    reader = rest.HistoryReader({"feed": "trades", "transport": "exchange_transport.broken", "gaps": "[[0, 10]]"})
+    import pytest
+
+    with pytest.raises(ValueError, match="without a time"):
+        list(reader.read(reader.partitions()[0]))
+
+
+def test_what_is_fetched(spark, tmp_path, monkeypatch):
+    transport(spark, tmp_path, monkeypatch)
+    root = str(tmp_path / "lake")
+    days = lambda df: sorted(str(r["dt"]) for r in df.collect())
+    assert len(days(rest.wanted(spark, root, "trades", "2024-01-01", "2024-01-06"))) == 6
+    lake.write(rows(spark, [1_704_067_200_000, 1_704_067_200_000 + 2 * DAY]), root, "trades")
+    want = rest.wanted(spark, root, "trades", "2024-01-01", "2024-01-06")
+    assert days(want) == ["2024-01-02", "2024-01-04", "2024-01-05", "2024-01-06"]
+    assert days(rest.available(spark, want, "exchange_transport.exists")) == ["2024-01-04", "2024-01-06"]
+    book = spark.createDataFrame([("X", "snapshot", 1_704_067_200_000, "[]", "[]")], lake.SCHEMAS["orderBook"]).withColumn("symbol", F.lit("X"))
+    lake.write(book, root, "orderBook")
+    assert days(rest.wanted(spark, root, "orderBook", "2024-01-01", "2024-01-01")) == ["2024-01-01"]  # too small to be whole
+    calls, pauses = [], []
+
+    def once_failing():
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("down")
+
+    assert rest.monitor(once_failing, 3, pauses.append) == 1 and pauses == [rest.POLL, rest.POLL_FAILED]
+
+
+def test_live_source_reconnects(spark, tmp_path, monkeypatch):
+    transport(spark, tmp_path, monkeypatch)
+    monkeypatch.setattr(live, "BACKOFF", 0.01)
+    reader = live.LiveReader({"feed": "trades", "symbol": "X", "transport": "exchange_transport.receive"})
+    got, at = [], reader.initialOffset()
+    while True:
+        part, after = reader.read(at)
+        got += [m for (m,) in part]
+        if after == at:
+            break
+        at = after
+    assert len(got) == 30 and [m for (m,) in reader.readBetweenOffsets({"at": 7}, {"at": 20})] == got[7:20]
+    root = str(tmp_path / "lake")
+    q = live.to_bronze(live.parse(live.subscribe(spark, "trades", "exchange_transport.receive", "X"), "trades"), root, "trades", str(tmp_path / "c"), symbol="X")
+    live.finish(q)
+    assert lake.read(spark, root, "trades").count() == 30 and not q.isActive
+    assert len(json.loads(live.subscription("markPriceKlines", "X"))["args"]) == 6
+
+
+def test_late_rows_go_to_their_own_table(spark, tmp_path):
+    src, root = tmp_path / "in", str(tmp_path / "lake")
+    src.mkdir()
+    base = 1_704_067_200_000
+    (src / "a.txt").write_text("\n".join(message(i, base + i * 60_000) for i in (0, 100, 101)))
+    stream = live.parse(spark.readStream.format("text").load(str(src)), "trades")
+    live.to_bronze(stream, root, "trades", str(tmp_path / "c"), symbol="X", available_now=True, late_ms=600_000).awaitTermination()
+    assert lake.read(spark, root, "trades").count() == 2 and lake.read(spark, root, "trades", "late").count() == 1
+    assert live.merge_late(spark, root, "trades") == 1 and lake.read(spark, root, "trades").count() == 3
+
+
+def test_inter_arrival_on_a_stream_is_that_of_the_batch(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    base = 1_704_067_200_000
+    times = [base + i * 7_001 + (i % 5) * 900 for i in range(400)]
+    (src / "a.txt").write_text("\n".join(message(i, t) for i, t in enumerate(times)))
+    (src / "b.txt").write_text(message(9999, base + 7_200_000))
+    stream = live.once(live.parse(spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(str(src)), "trades"), "trades")
+    q = live.inter_arrival(stream).writeStream.format("memory").queryName("gaps_live").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    names = ["window_end", "rate_mean_ms_trade", "rate_std_ms_trade", "rate_max_ms_trade", "rate_min_ms_trade"]
+    got = {r["window_end"]: tuple(r) for r in spark.table("gaps_live").select(*names).collect()}
+    batch = trades.aggregate(rows(spark, times), "5m", ["rate"]).select(*names)
+    want = {r["window_end"]: tuple(r) for r in batch.collect()}
+    assert got and all(abs(a - b) < 1e-6 for k in got for a, b in zip(got[k], want[k], strict=True))

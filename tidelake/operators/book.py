@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.functions import stats as S
@@ -107,6 +107,6 @@ def aggregate(book: DataFrame, interval: str, keys: Sequence[str] = (), step: in
     """Keys, window_end and 77 metrics; from raw snapshots or from rows of features()."""
     size = to_ms(interval)
     rows = book if "weighted_mid_price" in book.columns else features(book)
-    rows = rows.withColumn("_prev_t", F.lag("ts").over(Window.partitionBy(*keys).orderBy("ts")))
+    rows = W.with_previous(rows, "ts", ["ts"], {"_prev_t": F.col("ts")}, keys)
     spread = W.on_source_days(W.spread(rows, "ts", size, step), W.source_days(rows, "ts", keys), keys)
     return spread.groupBy(*keys, "window_end").agg(*metrics(size))

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.functions import stats as S
 from tidelake.functions.intervals import INTERVALS, STEP_MS, to_ms
 
+from . import windows as W
+
 TIME = "window_end"
 #: Parts of column names that every training set keeps, and those of features over two intervals.  Fixed values.
 ALWAYS = ("timestamp_dt", "funding_", "feat_hour_sin", "feat_hour_cos")
@@ -53,11 +55,19 @@ def downsample(df: DataFrame, interval: str, keys: Sequence[str] = (), time: str
         return df.where(F.pmod(F.col(time), F.lit(to_ms(interval))) == 0)
     if align != "position":
         raise ValueError("align is position or clock")
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(time)) - 1
-    return df.withColumn("_place", place).where(F.col("_place") % n == 0).drop("_place")
+    return W.places(df, time, "_place", keys).where(F.col("_place") % n == 0).drop("_place")
 
 
 def dataset(gold: DataFrame, interval: str, keys: Sequence[str] = (), time: str = TIME, align: str = "position") -> DataFrame:
     """Complete rows, this interval's columns, downsampled."""
     picked = sorted({*columns_for(gold.columns, interval, time), *keys})
     return downsample(complete(gold).select(*[S.col(c) for c in picked]), interval, keys, time, align)
+
+
+def write_datasets(gold: DataFrame, root: str, intervals: Sequence[str] = INTERVALS, keys: Sequence[str] = (), time: str = TIME, align: str = "position") -> dict[str, str]:
+    """One Parquet folder for each interval's training set; the folders by interval."""
+    out = {}
+    for i in intervals:
+        out[i] = f"{root}/diamond/{i}"
+        dataset(gold, i, keys, time, align).write.mode("overwrite").parquet(out[i])
+    return out

@@ -9,11 +9,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.functions import stats as S
 
+from . import windows as W
+
 FEE = 0.0004
 
 
@@ -76,8 +78,8 @@ def fold_table(df: DataFrame, least: int, test: int, step: int) -> DataFrame:
 
 
 def numbered(df: DataFrame, time: str) -> DataFrame:
-    """Adds ``row``, from 0 by time."""
-    return df.withColumn("row", F.row_number().over(Window.orderBy(time)) - 1)
+    """Adds ``row``, from 0 by time (a number of ms)."""
+    return W.places(df, time, "row")
 
 
 def metrics(predictions: DataFrame, truth: str = "label", predicted: str = "predicted", by: Sequence[str] = ()) -> DataFrame:
@@ -143,18 +145,61 @@ def predict(model: PipelineModel, df: DataFrame, threshold: float) -> DataFrame:
     return model.transform(df).withColumn("probability_up", p).withColumn("predicted", (F.col("probability_up") >= threshold).cast("int"))
 
 
+def importances(model: PipelineModel, features: Sequence[str]) -> dict[str, float]:
+    """How much each feature gained in the booster's trees; features that no tree uses have 0."""
+    found = model.stages[-1].featureImportances
+    return {f: float(found[i]) for i, f in enumerate(features)}
+
+
+def select_features(train: DataFrame, features: Sequence[str], label: str, setup: Setup, trees: int) -> list[str]:
+    """The features left by the correlation filter and then by importance in a first, smaller booster, all on the training rows."""
+    drop = set(correlated(train, features))
+    kept = [f for f in features if f not in drop]
+    first = booster(kept, label, trees, setup.rate, setup.depth).fit(with_features(train, kept, label))
+    return sorted(pick_important(importances(first, kept), setup.percentile, setup.floor))
+
+
 def walk_forward(df: DataFrame, features: Sequence[str], label: str, time: str, setup: Setup, returns: str | None = None, trees: int | None = None) -> DataFrame:
-    """fold, n, accuracy, precision, recall, trades, pnl, wins; the correlation filter runs on each fold's own training rows."""
-    rows = numbered(with_features(df, features, label), time).cache()
-    out = None
-    for k, (start, end) in enumerate(folds(rows.count(), setup.least, setup.test, setup.step)):
-        train, test = rows.where(F.col("row") < start), rows.where(F.col("row").between(start, end - 1))
-        drop = set(correlated(train, features))
-        kept = [f for f in features if f not in drop]
-        model = booster(kept, label, trees or setup.trees, setup.rate, setup.depth).fit(with_features(train.drop(*[c for c in train.columns if c.startswith("_f")]), kept, label))
-        got = predict(model, with_features(test.drop(*[c for c in test.columns if c.startswith("_f")]), kept, label), setup.threshold).withColumn("fold", F.lit(k))
-        one = metrics(got, label, "predicted", ["fold"]).join(profit(got, "predicted", returns, by=["fold"]), "fold")
-        out = one if out is None else out.unionByName(one)
-    if out is None:
+    """fold, n, accuracy, precision, recall, trades, pnl, wins, features.
+
+    In each fold both filters and the booster see the rows before the fold's start only.  What is
+    gathered is one row a fold.
+    """
+    rows = numbered(df, time).persist()
+    many, out = trees or setup.trees, []
+    try:
+        for k, (start, end) in enumerate(folds(rows.count(), setup.least, setup.test, setup.step)):
+            train, test = rows.where(F.col("row") < start), rows.where(F.col("row").between(start, end - 1))
+            kept = select_features(train, features, label, setup, max(1, many // 4))
+            model = booster(kept, label, many, setup.rate, setup.depth).fit(with_features(train, kept, label))
+            got = predict(model, with_features(test, kept, label), setup.threshold).withColumn("fold", F.lit(k))
+            one = metrics(got, label, "predicted", ["fold"]).join(profit(got, "predicted", returns, by=["fold"]), "fold")
+            out.append((*one.first(), kept))
+    finally:
+        rows.unpersist()
+    if not out:
         raise ValueError("too few rows for one fold")
-    return out
+    return df.sparkSession.createDataFrame(out, "fold int, n long, accuracy double, precision double, recall double, trades long, pnl double, wins long, features array<string>")
+
+
+def refit(df: DataFrame, features: Sequence[str], label: str, setup: Setup, trees: int | None = None) -> tuple[PipelineModel, list[str]]:
+    """The final model on all rows, and its features."""
+    many = trees or setup.trees
+    kept = select_features(df, features, label, setup, max(1, many // 4))
+    return booster(kept, label, many, setup.rate, setup.depth).fit(with_features(df, kept, label)), kept
+
+
+def save(model: PipelineModel, features: Sequence[str], results: DataFrame, folder: str) -> None:
+    """Model, feature list, fold results (CSV) and their summary under a folder; what was there is replaced."""
+    spark = results.sparkSession
+    model.write().overwrite().save(f"{folder}/model")
+    spark.createDataFrame([(i, f) for i, f in enumerate(features)], "place int, feature string").coalesce(1).write.mode("overwrite").json(f"{folder}/features")
+    flat = results.withColumn("features", F.concat_ws(";", "features")) if "features" in results.columns else results
+    flat.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/results")
+    summary(results, ["accuracy", "precision", "recall"]).coalesce(1).write.mode("overwrite").json(f"{folder}/summary")
+
+
+def load(spark: SparkSession, folder: str) -> tuple[PipelineModel, list[str]]:
+    """What save() wrote: the model and its features in order."""
+    names = [r["feature"] for r in spark.read.json(f"{folder}/features").orderBy("place").collect()]
+    return PipelineModel.load(f"{folder}/model"), names

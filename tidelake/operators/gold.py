@@ -43,17 +43,19 @@ class Series:
 def merge(sources: dict[str, DataFrame], keys: Sequence[str] = (), time: str = TIME) -> DataFrame:
     """Full outer join of all sources on time, columns prefixed by source, in one shuffle.
 
-    Each source must have one row a time (and key); the rows are united and the
-    single value of each column is taken per time.
+    Each source must have one row a time (and key), and the job fails where one has two; the
+    rows are united and the single value of each column is taken per time.
     """
     parts = []
-    for prefix, df in sources.items():
-        parts.append(df.select(*keys, time, *[S.col(c).alias(prefix + c) for c in df.columns if c not in (*keys, time)]))
-    names = [c for p in parts for c in p.columns if c not in (*keys, time)]
+    for k, (prefix, df) in enumerate(sources.items()):
+        parts.append(df.select(*keys, time, *[S.col(c).alias(prefix + c) for c in df.columns if c not in (*keys, time)], F.lit(k).alias("_source")))
+    names = [c for p in parts for c in p.columns if c not in (*keys, time, "_source")]
     wide = parts[0]
     for p in parts[1:]:
         wide = wide.unionByName(p, allowMissingColumns=True)
-    return wide.groupBy(*keys, time).agg(*[F.max(S.col(c)).alias(c) for c in names])
+    made = wide.groupBy(*keys, time).agg(*[F.max(S.col(c)).alias(c) for c in names], F.greatest(F.lit(0), *[F.count_if(F.col("_source") == k) for k in range(len(parts))]).alias("_most"))
+    twice = F.when(F.col("_most") > 1, F.raise_error(F.lit("a source has two rows of one time")))
+    return made.where(F.coalesce(twice.cast("boolean"), F.lit(True))).drop("_most")
 
 
 def forward_fill(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), time: str = TIME) -> DataFrame:
@@ -190,6 +192,7 @@ LAGS = {
     "4h": ((1, "4h"), (6, "1d"), (18, "3d"), (72, "12d"), (144, "24d")),
     "1d": ((1, "1d"), (3, "3d"), (12, "12d"), (24, "24d"), (48, "48d")),
 }
+#: Features that are lagged, intervals that are compared, and features that are rolled.  Fixed values.
 LAGGED = (
     "log_return_trade", "price_velocity", "ma_divergence", "rsi_proxy", "trade_imbalance", "smart_money_div", "buy_consumption", "sell_consumption",
     "depth_imbalance", "bid_slope", "ask_slope", "liq_density", "basis_ratio", "funding_trend", "log_return_index", "candle_range", "z_volume",
@@ -247,6 +250,7 @@ LEADS = {
     "15m": ((4, "60m"), (8, "2h"), (16, "4h")),
     "1h": ((4, "4h"), (12, "12h"), (24, "24h")),
 }
+#: Returns that make the outer classes.  Fixed values.
 CLASSES = {"5m": 0.001, "15m": 0.002, "1h": 0.005, "4h": 0.01, "1d": 0.02}
 
 

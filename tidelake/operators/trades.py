@@ -25,18 +25,17 @@ def _is(pop: str) -> Column | None:
 
 
 def prepare(trades: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Adds turnover (unless there) and the previous row's time and price, overall and of the same side.
+    """Adds turnover (unless there), the previous row's time and price, and the time of the last buy and sell before.
 
     The previous row is looked up once over the whole series; inside a window it
     counts only if it lies in the window too, which is what a difference within
     the window's rows says.
     """
-    order = [F.col("created_time"), F.col("trade_id")]
-    every, side = Window.partitionBy(*keys).orderBy(*order), Window.partitionBy(*keys, "side").orderBy(*order)
     out = trades if "turnover" in trades.columns else trades.withColumn("turnover", F.col("price") * F.col("size"))
-    return out.withColumns(
-        {"_prev_t": F.lag("created_time").over(every), "_prev_p": F.lag("price").over(every), "_prev_side_t": F.lag("created_time").over(side)}
-    )
+    t = F.col("created_time")
+    before = {"_prev": F.struct(t.alias("t"), F.col("price").alias("p")), **{f"_prev_{s}": F.when(_is(s), t) for s in POPULATIONS[1:]}}
+    got = W.with_previous(out, "created_time", ["created_time", "trade_id"], before, keys)
+    return got.withColumns({"_prev_t": F.col("_prev.t"), "_prev_p": F.col("_prev.p")}).drop("_prev")
 
 
 def metrics(size: int, groups: Iterable[str] = GROUPS) -> list[Column]:
@@ -85,7 +84,7 @@ def metrics(size: int, groups: Iterable[str] = GROUPS) -> list[Column]:
             add("count_tick_down", S.rows(inside & (price < F.col("_prev_p"))))
         elif g == "rate":
             for pop in POPULATIONS:
-                prev = F.col("_prev_t" if pop == "trade" else "_prev_side_t")
+                prev = F.col("_prev_t" if pop == "trade" else f"_prev_{pop}")
                 gap = F.when(prev >= start, (t - prev).cast("double"))
                 gap = S.given(gap, _is(pop))
                 for name, f in (("mean", F.avg), ("std", F.stddev_samp), ("max", F.max), ("min", F.min)):

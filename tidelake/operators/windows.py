@@ -50,6 +50,37 @@ def over_panes(size: int, keys: Sequence[str] = (), step: int = STEP_MS):
     return Window.partitionBy(*keys).orderBy("window_end").rangeBetween(-(size - step), 0)
 
 
+#: Pieces of time in which raw rows are ordered; between pieces only one row a piece is carried.
+CHUNK_MS = 3_600_000
+
+
+def with_previous(df: DataFrame, time: str, order: Sequence[str], values: dict[str, Column], keys: Sequence[str] = (), chunk: int = CHUNK_MS) -> DataFrame:
+    """Adds under each name the latest value that isn't null of the rows before by ``order`` (which begins with the time).
+
+    No task orders the whole series: rows are ordered within pieces of time, and what a piece ends
+    with is carried to the next ones over a table of one row a piece.
+    """
+    piece = F.floor(F.col(time) / F.lit(chunk))
+    within = Window.partitionBy(*keys, "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumn("_piece", piece).withColumns({n: F.last(v, ignorenulls=True).over(within) for n, v in values.items()})
+    last = [F.max_by(v, F.when(v.isNotNull(), F.struct(*order))).alias(f"_of{k}") for k, v in enumerate(values.values())]
+    ends = df.groupBy(*keys, piece.alias("_piece")).agg(*last)
+    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*keys, "_piece", *[F.last(f"_of{k}", ignorenulls=True).over(before).alias(f"_on{k}") for k in range(len(values))])
+    got = rows.join(carried, [*keys, "_piece"], "left")
+    return got.withColumns({n: F.coalesce(F.col(n), F.col(f"_on{k}")) for k, n in enumerate(values)}).select(*df.columns, *values)
+
+
+def places(df: DataFrame, time: str, name: str, keys: Sequence[str] = (), chunk: int = CHUNK_MS) -> DataFrame:
+    """Adds each row's place by time, from 0, for each key: ranks within pieces of time and counts of the pieces before."""
+    piece = F.floor(F.col(time) / F.lit(chunk))
+    ranked = df.withColumn("_piece", piece).withColumn(name, F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(time)) - 1)
+    counts = df.groupBy(*keys, piece.alias("_piece")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return ranked.join(counts, [*keys, "_piece"]).withColumn(name, F.col(name) + F.col("_before")).select(*df.columns, name)
+
+
 def end_time(end: Column) -> Column:
     """The label as a timestamp without zone, in UTC whatever the session's zone is."""
     return F.timestamp_add("MILLISECOND", end, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))

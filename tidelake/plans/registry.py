@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.functions import stats as S
+from tidelake.functions.intervals import INTERVALS
 from tidelake.operators import book, bronze, diamond, evaluate, gold, klines, trades
 
 from . import fixtures as X
@@ -42,10 +43,11 @@ for _i in ("1h", "4h", "1d"):
 register("trades_core_1h_spread", _trades("1h", CORE), O.trade_windows("1h", CORE))
 for _g in ("quantiles", "moments", "corr", "ticks", "nunique", "rate"):
     register(f"trades_{_g}_1h", _trades("1h", [_g]), O.trade_windows("1h", [_g]))
-register("trades_all_15m", _trades("15m", trades.GROUPS), O.trade_windows("15m", trades.GROUPS))
+for _i in ("5m", "15m", "1h", "4h", "1d"):
+    register(f"trades_all_{_i}", _trades(_i, trades.GROUPS), O.trade_windows(_i, trades.GROUPS))
 
 register("book_features", lambda spark, sf: X.book_rows(spark, sf), f"WITH {O.BOOK} SELECT ts, {', '.join(f'{O.r(c)} AS {c}' for c in O.KERNEL)} FROM book")
-for _i in ("15m", "1h"):
+for _i in ("5m", "15m", "1h", "4h", "1d"):
     register(f"book_metrics_{_i}", lambda spark, sf, i=_i: book.aggregate(X.book_rows(spark, sf), i), O.book_windows(_i))
 
 _OHLC = "open_time, " + ", ".join(f"{O.r(c)} AS {c}" for c in ("open", "high", "low", "close"))
@@ -69,7 +71,7 @@ def _base_columns(intervals: Sequence[str]) -> list[str]:
     return [*out, "funding_funding_rate"]
 
 
-_TWO = ("5m", "15m")
+_TWO, _LONG = ("5m", "15m"), ("1h", "4h", "1d")
 _SHOWN = ", ".join(f"{O.r(c)} AS {c}" for c in _base_columns(_TWO)) + ", " + ", ".join(f"trades_{i}_count_{s}" for i in _TWO for s in ("buy", "sell")) + ", funding_funding_time"
 register("merge_full", lambda spark, sf: X.gold_base(spark, sf, fill=False), f"{O.gold(fill=False)} SELECT window_end, {_SHOWN} FROM g")
 register("merge_ffill", lambda spark, sf: X.gold_base(spark, sf), f"{O.gold()} SELECT window_end, {_SHOWN} FROM g")
@@ -179,6 +181,7 @@ _FAMILIES: dict[str, tuple[Sequence[str], Sequence[str], Sequence[str], bool]] =
 }
 for _n, (_a, _b, _h, _x) in _FAMILIES.items():
     register(f"derive_{_n}", _derived((*_a, *_b), extended=_x), O.derived((*_a, *_h), _b, _a, depth=_x))
+    register(f"derive_{_n}_long", _derived((*_a, *_b), _LONG, extended=_x), O.derived((*_a, *_h), _b, _a, _LONG, depth=_x))
 register("derive_time", _derived(("hour_sin", "hour_cos"), ("5m",)), O.derived((), (), intervals=("5m",), hours=True))
 register("derive_kaufman_ext", _derived(("efficiency_ratio",), extended=True, rename={"efficiency_ratio": "kaufman_ratio"}), O.derived(("path", "move12"), ("kaufman_ratio",), (), depth=True))
 
@@ -230,27 +233,75 @@ register(
 register("lags_rolling", _lagged(lambda c: "_roll_" in c or "_trend_z" in c), f"{_D} SELECT window_end, {_rolling_sql()} FROM d")
 
 
-def _labels(kind: str) -> Query:
+# All seventeen lagged features, and what compares them, one interval a query; pairs of intervals in one more.
+def _all_lagged(i: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        base = X.gold_base(spark, sf, _TWO).select("window_end", *[f"orderbook_{i}_wmp_last" for i in _TWO])
-        out = gold.labels(base, [kind], intervals=_TWO)
-        return out.select("window_end", *[S.col(c) for c in out.columns if c not in base.columns])
+        feats = [f"feat_{b}_{i}" for b in gold.LAGGED]
+        d = gold.derive(X.gold_base(spark, sf, (i,), depth=True), intervals=(i,), extended=True).select("window_end", *[S.col(c) for c in feats])
+        out = gold.lags(d, intervals=(i,))
+        return out.select("window_end", *[S.col(c) for c in out.columns if c not in feats and c != "window_end"])
 
     return run
 
 
-def _rise(i: str, k: int = 1) -> str:
-    w = f"orderbook_{i}_wmp_last"
-    return O.div(f"lead({w}, {k}) {O.O} - {w}", w)
+def _all_lagged_sql(i: str) -> str:
+    first = [b for b in gold.LAGGED if b != "smart_money_div"]
+    head = O.derived((*first,), (), (), (i,), depth=True).rsplit("\nSELECT ", 1)[0]
+    f = lambda n: f"feat_{n}_{i}"
+    cols = [f"{O.r(O.lag(f(b), k))} AS {f(b)}_lag_{n}" for b in gold.LAGGED for k, n in gold.LAGS[i]]
+    near, far = gold.LAGS[i][0][0], gold.LAGS[i][-2][0]
+    x, t, b = f("log_return_trade"), f("trade_imbalance"), f("basis_ratio")
+    cols += [f"{O.r(f'{x} * {O.lag(x, near)}')} AS {f('momentum_persistence')}", f"{O.r(f'{x} - {O.lag(x, near)}')} AS {f('momentum_acceleration')}"]
+    cols += [f"{O.r(f'{t} * {O.lag(t, near)}')} AS {f('flow_persistence')}", f"{_tiny(f'{t} > 0 AND {O.lag(t, near)} < 0')} AS {f('flow_reversal_bullish')}", f"{_tiny(f'{t} < 0 AND {O.lag(t, near)} > 0')} AS {f('flow_reversal_bearish')}"]
+    cols.append(f"{O.r(f'{b} - {O.lag(b, far)}')} AS {f('basis_expansion')}")
+    if i in ("5m", "15m", "1h"):
+        for n in (f(b) for b in gold.ROLLED):
+            cols += [f"{O.r(O.roll(n, k, fn))} AS {n}_roll_{w}_{k}p" for k, w, fn in ((3, "mean", "avg"), (6, "mean", "avg"), (3, "std", "stddev_samp"))]
+            cols.append(f"{O.r(O.div(f'{n} - ({O.roll(n, 3)})', O.roll(n, 3, 'stddev_samp')))} AS {n}_vs_trend_z")
+    return f"{head}, e AS (SELECT *, {O.second_sql('smart_money_div', i)} AS {f('smart_money_div')} FROM d) SELECT window_end, {', '.join(cols)} FROM e"
+
+
+def _pairs(spark: SparkSession, sf: str) -> DataFrame:
+    feats = [f"feat_{b}_{i}" for i in INTERVALS for b in ("log_return_trade", "trade_imbalance")]
+    d = gold.derive(X.gold_base(spark, sf, INTERVALS), intervals=INTERVALS, extended=True).select("window_end", *[S.col(c) for c in feats])
+    out = gold.lags(d, intervals=INTERVALS)
+    return out.select("window_end", *[S.col(c) for c in out.columns if "_alignment_" in c or "_divergence_" in c])
+
+
+def _pairs_sql() -> str:
+    cols = []
+    for a, b in gold.PAIRS:
+        x, y, t, u = (f"feat_{n}_{i}" for n in ("log_return_trade", "trade_imbalance") for i in (a, b))
+        cols += [f"{O.r(f'{x} * {y}')} AS feat_momentum_alignment_{a}_{b}", f"{O.r(f'{x} - {y}')} AS feat_momentum_divergence_{a}_{b}", f"{O.r(f'{t} * {u}')} AS feat_flow_alignment_{a}_{b}"]
+    return O.derived(("log_return_trade", "trade_imbalance"), (), (), INTERVALS).rsplit("\nSELECT ", 1)[0] + f" SELECT window_end, {', '.join(cols)} FROM d"
 
 
 def _tiny(x: str) -> str:
     return f"CAST({x} AS TINYINT)"
 
 
-def _label_sql(kind: str) -> str:
+for _i in INTERVALS:
+    register(f"lags_all_{_i}", _all_lagged(_i), _all_lagged_sql(_i))
+register("lags_pairs", _pairs, _pairs_sql())
+
+
+def _labels(kind: str, intervals: Sequence[str] = _TWO) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        base = X.gold_base(spark, sf, intervals).select("window_end", *[f"orderbook_{i}_wmp_last" for i in intervals])
+        out = gold.labels(base, [kind], intervals=intervals)
+        return out.select("window_end", *[S.col(c) for c in out.columns if c not in base.columns])
+
+    return run
+
+
+def _rise(i: str, k: int = 1) -> str:
+    w = f"orderbook_{i}_wmp_last"
+    return O.div(f"lead({w}, {k}) {O.O} - {w}", w)
+
+
+def _label_sql(kind: str, intervals: Sequence[str] = _TWO) -> str:
     out = []
-    for i in _TWO:
+    for i in intervals:
         w, x = f"orderbook_{i}_wmp_last", f"r_{i}"
         if kind == "optimal":
             out.append(f"{_tiny(f'{x} > {gold.THRESHOLDS[i]}::DOUBLE')} AS label_{i}")
@@ -258,21 +309,22 @@ def _label_sql(kind: str) -> str:
             ahead = f"lead({w}) {O.O}"
             out += [f"{O.r(ahead)} AS {w}_future_1p", f"{O.r(x)} AS return_{i}", f"{O.r(f'abs({x})')} AS return_abs_{i}", f"{_tiny(f'{ahead} > {w}')} AS label_{i}"]
         if kind == "multi":
-            for k, n in gold.LEADS[i]:
+            for k, n in gold.LEADS.get(i, ()):
                 out += [f"{O.r(_rise(i, k))} AS return_{i}_{n}", f"{_tiny(f'lead({w}, {k}) {O.O} > {w}')} AS label_{i}_{n}"]
         if kind == "cat":
             t = f"{gold.CLASSES[i]}::DOUBLE"
             out.append(f"{_tiny(f'CASE WHEN {x} > {t} THEN 3 WHEN {x} > 0 THEN 2 WHEN {x} >= -{t} THEN 1 ELSE 0 END')} AS label_cat_{i}")
-        if kind == "voladj":
+        if kind == "voladj" and i in ("5m", "15m", "1h"):
             v = O.roll(x, 24, "stddev_samp")
             a = O.div(x, v)
             out += [f"{O.r(v)} AS vol_{i}_24p", f"{O.r(a)} AS return_vol_adj_{i}", f"{_tiny(f'({a}) > 0')} AS label_vol_adj_{i}", f"{_tiny(f'abs({a}) > 1')} AS label_strong_move_{i}"]
-    returns = ", ".join(f"{_rise(i)} AS r_{i}" for i in _TWO)
-    return f"{O.gold()}, x AS (SELECT window_end, {', '.join(f'orderbook_{i}_wmp_last' for i in _TWO)}, {returns} FROM g) SELECT window_end, {', '.join(out)} FROM x"
+    returns = ", ".join(f"{_rise(i)} AS r_{i}" for i in intervals)
+    return f"{O.gold(intervals)}, x AS (SELECT window_end, {', '.join(f'orderbook_{i}_wmp_last' for i in intervals)}, {returns} FROM g) SELECT window_end, {', '.join(out)} FROM x"
 
 
 for _k in ("optimal", "simple", "multi", "cat", "voladj"):
     register(f"labels_{_k}", _labels(_k), _label_sql(_k))
+    register(f"labels_{_k}_long", _labels(_k, _LONG), _label_sql(_k, _LONG))
 register(
     "label_distribution",
     lambda spark, sf: gold.label_distribution(_labels("optimal")(spark, sf)),
@@ -298,6 +350,37 @@ for _i in ("15m", "1h", "4h", "1d"):
     )
 register("diamond_clock_1h", lambda spark, sf: diamond.downsample(_clean(spark, sf), "1h", align="clock"), f"{_CLEAN} SELECT window_end, {_CLEAN_SHOWN} FROM c WHERE window_end % 3600000 = 0")
 
+# The five training sets: base columns, returns, basis and labels of all intervals, complete rows, each set its own columns.
+_SET_FEATURES = ("log_return_trade", "basis_ratio", "candle_range")
+
+
+def _gold_frame(spark: SparkSession, sf: str) -> DataFrame:
+    base = gold.derive(X.gold_base(spark, sf, INTERVALS), intervals=INTERVALS)
+    base = gold.labels(base, ["optimal"], intervals=INTERVALS)
+    names = [*_base_columns(INTERVALS), *(f"feat_{n}_{i}" for i in INTERVALS for n in _SET_FEATURES), "feat_hour_sin", "feat_hour_cos", *(f"label_{i}" for i in INTERVALS)]
+    return base.select("window_end", *[S.col(c) for c in names if not c.startswith("mark_")])
+
+
+def _set_sql(interval: str) -> str:
+    bases = [c for c in _base_columns(INTERVALS) if not c.startswith("mark_")]
+    feats = [f"feat_{n}_{i}" for i in INTERVALS for n in _SET_FEATURES]
+    head = O.derived(_SET_FEATURES, (), (), INTERVALS).rsplit("\nSELECT ", 1)[0]
+    hours = ", ".join(f"{fn}(2 * pi() * (window_end // 3600000 % 24) / 24) AS feat_hour_{fn}" for fn in ("sin", "cos"))
+    marks = ", ".join(f"{_tiny(f'({_rise(i)}) > {gold.THRESHOLDS[i]}::DOUBLE')} AS label_{i}" for i in INTERVALS)
+    every = [*bases, *feats, "feat_hour_sin", "feat_hour_cos", *(f"label_{i}" for i in INTERVALS)]
+    shorter = INTERVALS[: INTERVALS.index(interval)]
+    # a set leaves out what is of shorter intervals only, and labels but its own
+    mine = [c for c in every if (c == f"label_{interval}" if c.startswith("label_") else c.startswith(("funding_", "feat_hour_")) or (not c.startswith("feat_") and not any(f"_{j}_" in c for j in shorter)))]
+    shown = ", ".join(c if c.startswith("label_") else f"{O.r(c)} AS {c}" for c in mine)
+    return (
+        f"{head}, y AS (SELECT *, {hours}, {marks} FROM d), c AS (SELECT * FROM y WHERE {' AND '.join(f'{c} IS NOT NULL' for c in every)}) "
+        f"SELECT window_end, {shown} FROM c QUALIFY (row_number() OVER (ORDER BY window_end) - 1) % {O.SIZES[interval] // O.S} = 0"
+    )
+
+
+for _i in INTERVALS:
+    register(f"diamond_dataset_{_i}", lambda spark, sf, i=_i: diamond.dataset(_gold_frame(spark, sf), i), _set_sql(_i))
+
 # Model side
 _NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 register(

@@ -36,11 +36,13 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir, or where unset (tests) a folder of our own."""
+    """The folder that all executors see: spark.checkpoint.dir, or where unset a folder of our own, if the master is local (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
         at = spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = f"file://{tempfile.mkdtemp(prefix='tidelake-')}"
         spark.sparkContext.setCheckpointDir(at)
     return at

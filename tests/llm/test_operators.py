@@ -479,7 +479,9 @@ def test_links_lose_nothing(spark, tree):
     assert groups(mine) == groups(want)
 
 
-def test_components_of_a_long_chain(spark):
+@pytest.mark.parametrize("few", [0, 1 << 18])
+def test_components_of_a_long_chain(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW", few)
     e = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     got = components.components(e.unionByName(spark.createDataFrame([(500, 501), (7, 7)], "a long, b long")))
     assert {(r["a"], r["b"]) for r in got.collect()} == {(k, 0) for k in range(1, 201)} | {(501, 500)}
@@ -552,6 +554,17 @@ def test_recall_of_pairs_at_the_threshold(spark):
     assert sum(got[k] == k - 1 for k in range(1, 4000, 2)) >= 1990 and all(got[k] in (k, k - k % 2) for k in got)
 
 
+def test_components_in_one_task_against_a_plain_version():
+    r = random.Random(12)
+    for _ in range(200):
+        n = r.choice([2, 10, 100])
+        edges = [(a, b) for a, b in ((r.randrange(-n, n), r.randrange(-n, n)) for _ in range(r.randint(1, 2 * n))) if a != b]
+        if edges:
+            want = roots_of({x for e in edges for x in e}, edges)
+            got = components.labelled(*(np.array(x) for x in zip(*edges, strict=True)))
+            assert dict(zip(*(x.tolist() for x in got), strict=True)) == {k: v for k, v in want.items() if k != v}
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_trees_of_sets_against_all_pairs(seed):
     from fractions import Fraction

@@ -1,14 +1,20 @@
-"""Connected components of a graph given as edges, by alternating large and small stars."""
+"""Connected components of a graph given as edges: by alternating large and small stars, or in one task where they are few."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, skew_join
+from .common import discard, materialize, prepare, skew_join
 
 #: Far beyond the logarithmic number of rounds that any graph needs.
 MOST_ROUNDS = 64
+#: Edges, of 16 bytes, that one task holds at once.
+FEW = 1 << 18
 
 
 def _large(e: DataFrame) -> DataFrame:
@@ -26,13 +32,44 @@ def _small(e: DataFrame) -> DataFrame:
     return inner.unionByName(least.select("a", F.col("m").alias("b")))
 
 
+def labelled(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every node but the least of its component, and that least node: roots are hooked to smaller roots, and paths halved."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            break
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+    out = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[out], nodes[root[out]]
+
+
+def _alone(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held = [(f["a"].to_numpy(np.int64), f["b"].to_numpy(np.int64)) for f in frames]
+    if held:
+        a, b = labelled(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        yield pd.DataFrame({"a": a, "b": b})
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(a, b): every node with an edge to another but the least of its component, and that least node.
 
-    Minima are aggregated before each shuffle, and the joins that hand them back spread the links of a node with
-    many, so a hub's star is no one task's list.  Each round is written, so lost executors cost one round.
+    Up to FEW edges, by their count, go to one task.  More are halved in rounds: minima are aggregated before each
+    shuffle, and the joins that hand them back spread the links of a node with many, so a hub's star is no one
+    task's list.  Each round is written, so lost executors cost one round.  Both ways give the same rows.
     """
+    prepare(edges.sparkSession)
     e = materialize(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    if e.count() <= FEW:
+        done = materialize(e.coalesce(1).mapInPandas(_alone, "a long, b long"), "edges")
+        discard(e)
+        return done
     seen = None
     for _ in range(MOST_ROUNDS):
         wide = materialize(_large(e).distinct(), "edges")

@@ -206,11 +206,11 @@ t AS (
   FROM l CROSS JOIN f),
 p AS (
   SELECT d.doc_id, size, source_size, target, class, CAST(round(target) AS BIGINT) AS goal,
-    CAST(sum(size) OVER (PARTITION BY d.source ORDER BY h, d.doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS at
+    CAST(sum(size) OVER (PARTITION BY d.source ORDER BY h, d.doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS pos
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 n AS (
-  SELECT *, greatest(least(size, goal - at), 0) AS n0, greatest(least(size, goal - at - source_size), 0) AS n1 FROM p),
-m AS (SELECT *, (at + CAST(n0 AS DOUBLE) / 2) / CAST(greatest(goal, 1) AS DOUBLE) AS x FROM n)
+  SELECT *, greatest(least(size, goal - pos), 0) AS n0, greatest(least(size, goal - pos - source_size), 0) AS n1 FROM p),
+m AS (SELECT *, (pos + CAST(n0 AS DOUBLE) / 2) / CAST(greatest(goal, 1) AS DOUBLE) AS x FROM n)
 SELECT doc_id, size, source_size, target, CAST(n0 + n1 AS BIGINT) AS taken,
   CASE WHEN n0 = 0 THEN NULL
     WHEN class = 0 THEN least(2 * x / (CAST(1.5 AS DOUBLE) + sqrt(greatest(CAST(2.25 AS DOUBLE) - 2 * x, CAST(1e-300 AS DOUBLE)))), 1)

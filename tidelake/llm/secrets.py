@@ -174,6 +174,17 @@ def tally(texts: Iterable[str | None], counts: dict[int, int]) -> None:
                 counts[step_of(gain)] = counts.get(step_of(gain), 0) + 1
 
 
+def random_spans(text: str, taken: list[tuple[int, int, str]], least: float | None = None) -> list[tuple[int, int, str]]:
+    """Spans that the battery adds to the base spans; ``least`` as for spans()."""
+    tested = candidates(text, taken)
+    if least is None:
+        counts: dict[int, int] = {}
+        for gain, *_ in tested:
+            counts[step_of(gain)] = counts.get(step_of(gain), 0) + 1
+        least = cutoff(counts)
+    return [(s, e, "random") for gain, s, e in tested if gain >= least]
+
+
 def spans(text: str | None, least: float | None = None) -> list[tuple[int, int, str]]:
     """All spans of a text in code points, by start, then kind; a null text has none.
 
@@ -182,13 +193,7 @@ def spans(text: str | None, least: float | None = None) -> list[tuple[int, int,
     if not text:
         return []
     base = base_spans(text)
-    tested = candidates(text, base)
-    if least is None:
-        counts: dict[int, int] = {}
-        for gain, *_ in tested:
-            counts[step_of(gain)] = counts.get(step_of(gain), 0) + 1
-        least = cutoff(counts)
-    return sorted(base + [(s, e, "random") for gain, s, e in tested if gain >= least], key=lambda s: (s[0], KINDS[s[2]]))
+    return sorted(base + random_spans(text, base, least), key=lambda s: (s[0], KINDS[s[2]]))
 
 
 def corpus_cutoff(docs: DataFrame, text: str = "text") -> float:

@@ -383,11 +383,11 @@ p AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w WHERE len(w) >
 x AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS g FROM p),
 f AS (SELECT g, min(doc_id) AS least FROM x GROUP BY g),
 hit AS (SELECT x.doc_id, x.i FROM x JOIN f USING (g) WHERE f.least < x.doc_id),
-gone AS (SELECT DISTINCT doc_id, i + k AS at FROM hit CROSS JOIN range(0, 13) AS t(k)),
-each AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS at FROM w),
+gone AS (SELECT DISTINCT doc_id, i + k AS pos FROM hit CROSS JOIN range(0, 13) AS t(k)),
+each AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS pos FROM w),
 kept AS (
-  SELECT e.doc_id, count(*) AS n, string_agg(e.x, ' ' ORDER BY e.at) AS t
-  FROM each e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.at = g.at GROUP BY e.doc_id)
+  SELECT e.doc_id, count(*) AS n, string_agg(e.x, ' ' ORDER BY e.pos) AS t
+  FROM each e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.pos = g.pos GROUP BY e.doc_id)
 SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
   sha256(coalesce(kept.t, '')) AS kept_sha256
 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id

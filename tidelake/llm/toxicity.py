@@ -262,7 +262,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, swaps: float
     texts = materialize(read.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic")), "labelled")
     n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
-    word = texts.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]{3,}"), F.lit(0)))).alias("word"))
+    word = texts.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]{3,}"), F.lit(0)))).alias("word"))
     often = word.groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("n1")).where(F.col("n") >= max(OFTEN * (n0 + n1), LEAST))
     often = often.orderBy(F.desc("n"), "word").limit(64 * NAMES).collect()
     kinds = [*GROUPS, *learnt([tuple(r) for r in often], n0 + n1, n1)]

@@ -68,7 +68,7 @@ def with_previous(df: DataFrame, time: str, order: Sequence[str], values: dict[s
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(*keys, "_piece", *[F.last(f"_of{k}", ignorenulls=True).over(before).alias(f"_on{k}") for k in range(len(values))])
     got = rows.join(carried, [*keys, "_piece"], "left")
-    return got.withColumns({n: F.coalesce(F.col(n), F.col(f"_on{k}")) for k, n in enumerate(values)}).select(*df.columns, *values)
+    return got.withColumns({n: F.coalesce(F.col(n), F.col(f"_on{k}")) for k, n in enumerate(values)}).drop("_piece", *[f"_on{k}" for k in range(len(values))])
 
 
 def places(df: DataFrame, time: str, name: str, keys: Sequence[str] = (), chunk: int = CHUNK_MS) -> DataFrame:
@@ -78,7 +78,7 @@ def places(df: DataFrame, time: str, name: str, keys: Sequence[str] = (), chunk:
     counts = df.groupBy(*keys, piece.alias("_piece")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    return ranked.join(counts, [*keys, "_piece"]).withColumn(name, F.col(name) + F.col("_before")).select(*df.columns, name)
+    return ranked.join(counts, [*keys, "_piece"]).withColumn(name, F.col(name) + F.col("_before")).drop("_piece", "_before")
 
 
 def end_time(end: Column) -> Column:

@@ -88,8 +88,8 @@ def files(spark: SparkSession, root: str, feed: str, layer: str = "bronze") -> D
 
 
 def unreadable(spark: SparkSession, root: str, feed: str, layer: str = "bronze") -> DataFrame:
-    """path and bytes of files that are empty or don't end as Parquet files do."""
-    return files(spark, root, feed, layer).where(F.coalesce(~F.col("tail").endswith("50415231"), F.lit(True))).select("path", "bytes")
+    """path and bytes of files that don't end as Parquet files do; files of no bytes hold no rows and are passed over."""
+    return files(spark, root, feed, layer).where(~F.col("tail").endswith("50415231")).select("path", "bytes")
 
 
 def rearrange(spark: SparkSession, root: str, feed: str, target: str, layer: str = "bronze", clean: bool = False) -> DataFrame:

@@ -24,8 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m")
 
 
+#: What makes idle Python workers give memory back: large arrays are mapped apart, and Arrow's come from the same allocator.
+GIVE_BACK = {"MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20), "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers on this machine import this package (clusters ship it with --py-files), and bound their batches in bytes."""
+    """Let Python workers on this machine import this package (clusters ship it with --py-files), bound their batches in
+    bytes, and have them give back what they no longer use."""
+    for k, v in GIVE_BACK.items():
+        spark.sparkContext.environment.setdefault(k, v)
     if spark.conf.get(BATCH[0]) == BATCH[1]:
         spark.conf.set(BATCH[0], BATCH[2])
     root = str(Path(__file__).resolve().parents[2])

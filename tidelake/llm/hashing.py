@@ -14,7 +14,7 @@ import numpy as np
 _BASE = 0x9E3779B97F4A7C15 | 1
 _TABLE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64)
 #: Bytes hashed at once; bounds the working memory of a task.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 _powers = np.ones(1, np.uint64)
 _inverse = np.ones(1, np.uint64)

@@ -36,7 +36,7 @@ TOKENIZER = "byte_bpe_50k.json"
 #: Rows of one length that one task ranks, about.
 RANK_ROWS = 16384
 #: Distinct pre-tokens a worker remembers, and as many of the ones before; bounds its memory.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 400_000
 
 #: Longer chunks are encoded anew each time.
 CACHE_CHARS = 64

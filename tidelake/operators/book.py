@@ -1,7 +1,8 @@
 """Order books: features of each snapshot, and 77 metrics of each sliding window.
 
 Input columns: ts (epoch ms), action, asks, bids; a side is JSON text, a list of
-levels ["price", "quantity", ...] with the best level first.
+levels ["price", "quantity", ...] with the best level first.  Where there is a column seq, the row of
+the least seq counts among those of one time, as the first and as the last.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from tidelake.functions import stats as S
 from tidelake.functions.intervals import STEP_MS, to_ms
 
+from . import panes as P
 from . import windows as W
 
 LEVELS = 50
@@ -63,8 +65,7 @@ def features(book: DataFrame) -> DataFrame:
 
 
 def metrics(size: int) -> list[Column]:
-    """Window aggregates over features(); rows carry ``window_end`` and ``_prev_t``."""
-    order = F.col("ts")
+    """Window aggregates over features(); rows carry ``window_end``, ``_prev_t``, ``_first`` and ``_last`` (by what rows are ordered)."""
     out: list[Column] = []
     add = lambda name, x: out.append(x.alias(name))
 
@@ -74,7 +75,7 @@ def metrics(size: int) -> list[Column]:
             if n in f:
                 add(f"{short}_{n}", f[n](x))
             elif n in ("first", "last"):
-                add(f"{short}_{n}", (F.min_by if n == "first" else F.max_by)(x, order))
+                add(f"{short}_{n}", F.min_by(x, F.col("_first")) if n == "first" else F.max_by(x, F.col("_last")))
             else:
                 add(f"{short}_{n}", S.quantile(x, float(n)))
 
@@ -103,10 +104,49 @@ def metrics(size: int) -> list[Column]:
 CORRELATIONS = (("wmp", "imbal"), ("wmp", "depth"), ("wmp", "pressure"), ("wmp", "time"), ("spread", "imbal"), ("spread", "impact"), ("conc", "time"), ("pressure", "time"))
 
 
-def aggregate(book: DataFrame, interval: str, keys: Sequence[str] = (), step: int = STEP_MS) -> DataFrame:
-    """Keys, window_end and 77 metrics; from raw snapshots or from rows of features()."""
+def recipe(size: int, step: int, only: Sequence[str] = ()) -> P.Recipe:
+    """What metrics() says, for windows out of panes."""
+    r, c = P.Recipe("ts", size, step, only), F.col
+    eleven = (("wmp", "weighted_mid_price"), ("spread", "spread"), ("imbal", "deep_imbalance"), ("pressure", "book_pressure"))
+    four = (("depth", "total_depth_50"), ("conc", "concentration"), ("impact_ask", "impact_slope_ask"), ("impact_bid", "impact_slope_bid"))
+    for short, x in (*eleven, *four):
+        high = [f"{short}_skew", f"{short}_kurtosis"] if (short, x) in eleven else []
+        if high or short == "depth":
+            r.edge(f"{short}_first", c(x), c("_first"), False)
+            r.edge(f"{short}_last", c(x), c("_last"), True)
+        r.spread(short, c(x), f"{short}_mean", f"{short}_std", *high)
+        r.low(f"{short}_min", c(x))
+        r.high(f"{short}_max", c(x))
+        for q in QUANTILES if high else ():
+            r.value(f"{short}_{q:.2f}", short, {short: c(x)}, lambda v, q=q: P.nth(v, q))
+    r.sum("pressure_sum", c("book_pressure"))
+    r.rows("snapshot_count")
+    r.gaps("all", "", c("_prev_t"))
+    short = dict((*eleven, *four)) | {"impact": None, "time": None}
+    age, impact = (c("_pane") - c("ts")).cast("double"), (c("impact_slope_ask") + c("impact_slope_bid")) / 2
+    for a, b in CORRELATIONS:
+        r.corr(f"corr_{a}_{b}", c(short[a]), age if b == "time" else impact if b == "impact" else c(short[b]), age=b == "time")
+    r.high("last_update_time_ms", c("ts"))
+    return r
+
+
+def aggregate(book: DataFrame, interval: str, keys: Sequence[str] = (), step: int = STEP_MS, only: Sequence[str] = (), lasts: Sequence[str] = ()) -> DataFrame:
+    """Keys, window_end and 77 metrics; from raw snapshots or from rows of features().
+
+    ``only`` names the metrics that are wanted (then the others are not worked out), ``lasts`` feature columns whose
+    last value in the window is wanted too.  Windows of several steps come from panes.
+    """
     size = to_ms(interval)
     rows = book if "weighted_mid_price" in book.columns else features(book)
-    rows = W.with_previous(rows, "ts", ["ts"], {"_prev_t": F.col("ts")}, keys)
+    tied = "seq" in rows.columns
+    rows = rows.withColumns({"_first": F.struct("ts", "seq") if tied else F.col("ts"), "_last": F.struct("ts", -F.col("seq")) if tied else F.col("ts")})
+    names = list(only) or list(recipe(size, step).out)
+    before = ["ts", *(["seq"] if tied else [])]
+    rows = W.with_previous(rows, "ts", before, {"_prev_t": F.col("ts")}, keys) if any(n.startswith("rate_") for n in names) else rows.withColumn("_prev_t", F.lit(None).cast("long"))
+    if P.suits(size, step):
+        r = recipe(size, step, [*names, *lasts])
+        for n in lasts:
+            r.edge(n, F.col(n), F.col("_last"), True)
+        return P.combine(rows, r, keys)
     spread = W.on_source_days(W.spread(rows, "ts", size, step), W.source_days(rows, "ts", keys), keys)
-    return spread.groupBy(*keys, "window_end").agg(*metrics(size))
+    return spread.groupBy(*keys, "window_end").agg(*metrics(size), *[F.max_by(n, "_last").alias(n) for n in lasts]).select(*keys, "window_end", *[S.col(n) for n in (*names, *lasts)])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidelake.functions import stats as S
 from tidelake.functions.intervals import STEP_MS, to_ms
 
+from . import panes as P
 from . import windows as W
 
 POPULATIONS = ("trade", "buy", "sell")
@@ -99,14 +100,76 @@ def metrics(size: int, groups: Iterable[str] = GROUPS) -> list[Column]:
     return out
 
 
-def aggregate(trades: DataFrame, interval: str, groups: Iterable[str] = GROUPS, keys: Sequence[str] = (), step: int = STEP_MS) -> DataFrame:
-    """Keys, window_end (epoch ms) and the metrics of the chosen groups; empty windows have no row."""
+def recipe(size: int, step: int, groups: Iterable[str], only: Sequence[str] = ()) -> P.Recipe:
+    """What metrics() says, for windows out of panes."""
+    r = P.Recipe("created_time", size, step, only)
+    order, side = F.struct("created_time", "trade_id"), F.col("side")
+    price, volume = F.col("price"), F.col("size")
+    other = ~F.coalesce(side.isin(*POPULATIONS[1:]), F.lit(False))
+
+    def lists(what: str, x: Column, pop: str) -> dict[str, Column]:
+        each = {f"{what}_buy": S.given(x, _is("buy")), f"{what}_sell": S.given(x, _is("sell")), f"{what}_other": S.given(x, other)}
+        return each if pop == "trade" else {f"{what}_{pop}": each[f"{what}_{pop}"]}
+
+    for g in groups:
+        if g == "flow":
+            for s in ("buy", "sell"):
+                r.sum(f"volume_{s}", S.given(volume, _is(s)))
+                r.sum(f"turnover_{s}", S.given(F.col("turnover"), _is(s)))
+                r.rows(f"count_{s}", _is(s))
+            r.high("last_trade_time_ms", F.col("created_time"))
+            r.rows("trade_count")
+        elif g in ("core", "moments"):
+            for pop in POPULATIONS:
+                if g == "core":
+                    r.edge(f"price_first_{pop}", price, order, False, _is(pop))
+                    r.edge(f"price_last_{pop}", price, order, True, _is(pop))
+                for what, x in (("price", S.given(price, _is(pop))), ("size", S.given(volume, _is(pop)))):
+                    if g == "core":
+                        r.spread(f"{what}_{pop}", x, f"{what}_mean_{pop}", f"{what}_std_{pop}")
+                        r.low(f"{what}_min_{pop}", x)
+                        r.high(f"{what}_max_{pop}", x)
+                    else:
+                        r.spread(f"{what}_{pop}", x, None, None, f"{what}_skew_{pop}", f"{what}_kurtosis_{pop}")
+        elif g == "quantiles":
+            for pop in POPULATIONS:
+                for what, x in (("price", price), ("size", volume)):
+                    for q in QUANTILES:
+                        r.value(f"{what}_{q:.2f}_{pop}", f"{what}_{pop}", lists(what, x, pop), lambda v, q=q: P.nth(v, q))
+        elif g == "nunique":
+            for pop in POPULATIONS:
+                for what, x in (("price", price), ("size", volume)):
+                    r.value(f"nunique_{what}_{pop}", f"{what}_{pop}", lists(what, x, pop), lambda v: F.size(F.array_distinct(v)).cast("long"), F.lit(0))
+        elif g == "ticks":
+            r.moved("count_tick_up", F.col("_prev_t"), price > F.col("_prev_p"))
+            r.moved("count_tick_down", F.col("_prev_t"), price < F.col("_prev_p"))
+        elif g == "rate":
+            for pop in POPULATIONS:
+                r.gaps(pop, f"_{pop}", F.col("_prev_t" if pop == "trade" else f"_prev_{pop}"), _is(pop))
+        elif g == "corr":
+            age = (F.col("_pane") - F.col("created_time")).cast("double")
+            r.corr("corr_price_size_trade", price, volume)
+            r.corr("corr_price_time_trade", price, age, age=True)
+            r.corr("corr_size_time_trade", volume, age, age=True)
+        else:
+            raise ValueError(f"unknown group {g!r}")
+    return r
+
+
+def aggregate(trades: DataFrame, interval: str, groups: Iterable[str] = GROUPS, keys: Sequence[str] = (), step: int = STEP_MS, only: Sequence[str] = ()) -> DataFrame:
+    """Keys, window_end (epoch ms) and the metrics of the chosen groups, or ``only`` some of them; empty windows have no row.
+
+    Windows of several steps come from panes, so rows are not copied to each of their windows.
+    """
     size = to_ms(interval)
     groups = list(groups)
     ready = prepare(trades, keys) if {"ticks", "rate"} & set(groups) else trades if "turnover" in trades.columns else trades.withColumn("turnover", F.col("price") * F.col("size"))
+    if P.suits(size, step):
+        return P.combine(ready, recipe(size, step, groups, only), keys)
     spread = W.spread(ready, "created_time", size, step)
     spread = W.on_source_days(spread, W.source_days(trades, "created_time", keys), keys)
-    return spread.groupBy(*keys, "window_end").agg(*metrics(size, groups))
+    got = spread.groupBy(*keys, "window_end").agg(*metrics(size, groups))
+    return got.select(*keys, "window_end", *[S.col(n) for n in only]) if only else got
 
 
 def aggregate_panes(trades: DataFrame, interval: str, keys: Sequence[str] = (), step: int = STEP_MS) -> DataFrame:

@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.functions import stats as S
-from tidelake.functions.intervals import to_ms
 from tidelake.operators import book, gold, klines, trades
-from tidelake.operators import windows as W
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,15 +65,11 @@ def gold_base(spark: SparkSession, sf_dir: str, intervals: Sequence[str] = ("5m"
     index, mark = kline_feed(spark, sf_dir), kline_feed(spark, sf_dir, "mark")
     sources: dict[str, DataFrame] = {}
     for i in intervals:
-        ob = book.aggregate(rows, i).select("window_end", "wmp_last", "wmp_min", "wmp_max", "wmp_mean", "spread_mean")
-        if depth:
-            names = ("sum_bid_5", "sum_bid_20", "sum_bid_50", "sum_ask_20", "sum_ask_50", "best_bid", "best_ask", "bid_px_20", "ask_px_20", "total_depth_50")
-            spread = W.on_source_days(W.spread(rows, "ts", to_ms(i)), W.source_days(rows, "ts"))
-            ob = ob.join(spread.groupBy("window_end").agg(*[F.max_by(n, "ts").alias(n) for n in names]), "window_end")
+        names = ("sum_bid_5", "sum_bid_20", "sum_bid_50", "sum_ask_20", "sum_ask_50", "best_bid", "best_ask", "bid_px_20", "ask_px_20", "total_depth_50") if depth else ()
+        ob = book.aggregate(rows, i, only=("wmp_last", "wmp_min", "wmp_max", "wmp_mean", "spread_mean"), lasts=names)
         sources[f"orderbook_{i}_"] = ob
-        sources[f"trades_{i}_"] = trades.aggregate(feed, i, ["flow", "core"]).select(
-            "window_end", "price_mean_trade", "price_std_trade", "price_min_trade", "price_max_trade", "price_last_trade", "volume_buy", "volume_sell", "turnover_buy", "turnover_sell", "count_buy", "count_sell"
-        )
+        flow = ("price_mean_trade", "price_std_trade", "price_min_trade", "price_max_trade", "price_last_trade", "volume_buy", "volume_sell", "turnover_buy", "turnover_sell", "count_buy", "count_sell")
+        sources[f"trades_{i}_"] = trades.aggregate(feed, i, ["flow", "core"], only=flow)
         sources[f"index_price_{i}_"] = klines.aggregate(index, i).select("window_end", "close", "mean", "std")
         sources[f"mark_price_{i}_"] = klines.aggregate(mark, i).select("window_end", "mean")
     sources["funding_"] = funding_feed(spark, sf_dir).withColumn("window_end", F.col("funding_time"))

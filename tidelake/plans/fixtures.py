@@ -39,13 +39,13 @@ def book_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     action = F.when(F.col("event_type") == "error", "update").otherwise("snapshot")
     # the table is one small file; sixty levels a row are made and parsed by all cores
     spread = events(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
-    return spread.select(F.col("ms").alias("ts"), action.alias("action"), asks.alias("asks"), bids.alias("bids"))
+    return spread.select(F.col("ms").alias("ts"), F.col("event_id").alias("seq"), action.alias("action"), asks.alias("asks"), bids.alias("bids"))
 
 
 def book_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of the snapshots, rounded, so that equal values are equal whatever the order of summation."""
     f = book.features(book_feed(spark, sf_dir))
-    return f.select("ts", *[F.round(S.col(c), 9).alias(c) for c in f.columns if c != "ts"])
+    return f.select("ts", "seq", *[F.round(S.col(c), 9).alias(c) for c in f.columns if c not in ("ts", "seq")])
 
 
 def kline_feed(spark: SparkSession, sf_dir: str, kind: str = "index") -> DataFrame:

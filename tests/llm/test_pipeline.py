@@ -83,3 +83,15 @@ def test_near_duplicates_and_secrets_against_brute_force(spark):
                 out += [t[at:s], "[SECRET]"] if s >= at else []
                 at = e
         assert x["text"] == "".join([*out, t[at:]]) and x["n_chars"] == len(x["text"])
+
+
+def test_few_written_edges_are_not_written_again(spark, monkeypatch):
+    from tidelake.llm import components
+
+    written = []
+    keep = components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, tag: written.append(tag) or keep(df, tag))
+    edges = spark.createDataFrame([(2, 1), (1, 2), (3, 2), (5, 5), (9, 7)], "a long, b long")
+    got = sorted(tuple(x) for x in components.components(edges, written=True).collect())
+    assert got == [(2, 1), (3, 1), (9, 7)] and written == ["edges"]
+    assert got == sorted(tuple(x) for x in components.components(edges).collect())

@@ -57,14 +57,18 @@ def _alone(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"a": a, "b": b})
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, written: bool = False) -> DataFrame:
     """(a, b): every node with an edge to another but the least of its component, and that least node.
 
     Up to FEW edges, by their count, go to one task.  More are halved in rounds: minima are aggregated before each
     shuffle, and the joins that hand them back spread the links of a node with many, so a hub's star is no one
     task's list.  Each round is written, so lost executors cost one round.  Both ways give the same rows.
+    Few edges that are a written table already are not written once more.
     """
     prepare(edges.sparkSession)
+    if written and edges.count() <= FEW:
+        told = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        return materialize(told.coalesce(1).mapInPandas(_alone, "a long, b long"), "edges")
     e = materialize(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     if e.count() <= FEW:
         done = materialize(e.coalesce(1).mapInPandas(_alone, "a long, b long"), "edges")

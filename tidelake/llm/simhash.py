@@ -202,7 +202,7 @@ def group(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, radius: i
     marked = materialize(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")), "text", shingle).select("doc_id", "fp"), "fp")
     least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     found = links(least.select("fp"), radius)
-    roots = components(found)
+    roots = components(found, written=True)
     placed = least.join(roots.select(F.col("a").alias("fp"), F.col("b").alias("root")), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     placed = materialize(placed, "placed")
     named = placed.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -25,7 +25,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, that with the least doc_id."""
+    """One document of each group of near-duplicates stays, that with the least doc_id: SimHash groups and MinHash bands name candidates, the sets of shingles decide."""
     return simhash.dedup(docs).select(*COLUMNS)
 
 

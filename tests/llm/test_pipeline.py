@@ -85,6 +85,27 @@ def test_near_duplicates_and_secrets_against_brute_force(spark):
         assert x["text"] == "".join([*out, t[at:]]) and x["n_chars"] == len(x["text"])
 
 
+def test_near_duplicates_go_through_simhash(spark, monkeypatch):
+    """Without any band, what SimHash groups is found and decided on the sets of shingles."""
+    from tidelake.llm import near, simhash
+
+    r = random.Random(5)
+    w = [f"w{r.randrange(5000)}" for _ in range(400)]
+    apart = lambda a, b: ((simhash.fingerprint(a) ^ simhash.fingerprint(b)) & (2**64 - 1)).bit_count()
+    near_copy = next(t for k in range(1, 399) if apart(t := " ".join([*w[:k], "edited", *w[k + 1 :]]), " ".join(w)) in (1, 2, 3))
+    other = " ".join([*w[:200], *(f"v{k}" for k in range(200))])
+    texts = [" ".join(w), near_copy, other]
+    marks = near.marks_of
+
+    def no_bands(h, sizes):
+        key, bands = marks(h, sizes)
+        return key, bands[:, :0]
+
+    monkeypatch.setattr(near, "marks_of", no_bands)
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(x["doc_id"] for x in P.drop_near_duplicates(spark, docs, "").collect()) == [0, 2]
+
+
 def test_few_written_edges_are_not_written_again(spark, monkeypatch):
     from tidelake.llm import components
 

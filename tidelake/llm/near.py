@@ -1,7 +1,8 @@
-"""Near-duplicates at a Jaccard similarity: MinHash bands deal texts, BK-trees over shingle sets decide.
+"""Near-duplicates at a Jaccard similarity: SimHash and MinHash bands name candidates, BK-trees over shingle sets decide.
 
-Each distinct set of shingles has ``BANDS`` keys of ``ROWS`` MinHash values.  Sets that share a key are
-candidates; the components of this candidate graph are small, and a component's sets meet in one shard, where a
+Each distinct set of shingles has the component of its text's SimHash as a key (``simhash``: BK-trees within shards,
+links of at most three bits), and, since 64 bits tell most pairs at the threshold no more from others, ``BANDS``
+keys of ``ROWS`` MinHash values for the rest.  Sets that share a key are candidates; the components of this candidate graph are small, and a component's sets meet in one shard, where a
 BK-tree on the integer Hamming distance of the sets (shingles that only one of two holds) finds all pairs whose
 similarity is high enough, on the sets themselves.  So no pair below the threshold is linked, no pair is written
 out, and a pair at the threshold is missed only if its texts share no key and are in no component together:
@@ -201,6 +202,15 @@ def _search(frames: Iterator[pd.DataFrame], ratio: Fraction) -> Iterator[pd.Data
         yield pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
 
 
+def with_simhash(reps: DataFrame) -> DataFrame:
+    """``reps`` whose ``bands`` hold one key more: the component of fingerprints that ``fp`` is in."""
+    from .simhash import links
+
+    roots = components(links(reps.select("fp")), written=True).select(F.col("a").alias("fp"), F.col("b").alias("_root"))
+    keyed = reps.join(roots, "fp", "left").withColumn("bands", F.array_append("bands", F.xxhash64(F.coalesce("_root", "fp"), F.lit(BANDS))))
+    return materialize(keyed.drop("fp", "_root"), "reps")
+
+
 def candidates(reps: DataFrame) -> DataFrame:
     """(u, root): sets that share a band key with another, by component of the graph of shared keys."""
     keyed = materialize(reps.select("u", F.explode("bands").alias("key")), "keyed")
@@ -253,6 +263,8 @@ def near_groups(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, sim
     any other name may occur in ``docs``.
     """
     spark = docs.sparkSession
+    from . import simhash
+
     prepare(spark)
     ratio = Fraction(str(similarity))
     doc = F.col("doc_id").cast("long")
@@ -260,6 +272,7 @@ def near_groups(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, sim
     def marks(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in parts:
             u, size, bands = pd.array([None] * len(part), "Int64"), np.zeros(len(part), np.int64), np.empty(len(part), object)
+            fp = np.fromiter((simhash.fingerprint(t) for t in part), np.int64, len(part))
             for s in range(0, len(part), 256):
                 h, n = sets_of(list(part[s : s + 256]), shingle)
                 key, b = marks_of(h, n)
@@ -268,15 +281,16 @@ def near_groups(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, sim
                 u[at] = key
                 for i, k in enumerate(at.tolist()):
                     bands[k] = b[i]
-            yield pd.DataFrame({"u": u, "n": size, "bands": bands})
+            yield pd.DataFrame({"u": u, "n": size, "bands": bands, "fp": fp})
 
     # called once a row: not once more for the filter, in a second worker
-    marked = F.pandas_udf(marks, "u long, n long, bands array<long>").asNondeterministic()
+    marked = F.pandas_udf(marks, "u long, n long, bands array<long>, fp long").asNondeterministic()
     slim = docs.select(doc.alias("doc_id"), marked(F.col(text)).alias("m"))
     slim = materialize(slim.where("doc_id is not null and m.u is not null").select("doc_id", "m.*"), "marks")
-    reps = materialize(slim.groupBy("u").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands")), "reps")
+    reps = materialize(slim.groupBy("u").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("fp").alias("fp")), "reps")
+    reps = with_simhash(reps)
     found = candidates(reps)
-    # at most BANDS * BLOCKS shards a set
+    # at most (BANDS + 1) * BLOCKS shards a set
     asked = shards(reps, found).distinct().groupBy("u").agg(F.collect_list("shard").alias("_shards")).join(reps.select("u", "least"), "u")
     asked = asked.select(F.col("u").alias("_u"), F.col("least").alias("_id"), "_shards")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidelake.functions.intervals import to_ms
 from tidelake.operators import book, trades
 from tidelake.operators import windows as W
-from tidelake.plans import registry
+from tidelake.plans import fixtures, registry
 
 M = 60_000
 
@@ -74,3 +74,10 @@ def test_no_raw_row_is_copied_to_its_windows(spark, sf, name):
             below.append(s)
         chain = below[: next((k for k, s in enumerate(below) if "Join" in s), len(below))]
         assert any("Aggregate(" in s for s in chain), lines[i][:200]
+
+
+@pytest.mark.parametrize("interval", ["5m", "1h"])
+def test_only_what_is_asked_for(spark, sf, interval):
+    feed = fixtures.trade_feed(spark, sf)
+    assert set(trades.aggregate(feed, interval, ["flow", "core"], only=("price_mean_buy", "count_sell")).columns) == {"window_end", "price_mean_buy", "count_sell"}
+    assert set(book.aggregate(fixtures.book_rows(spark, sf), interval, only=("wmp_mean",), lasts=("best_bid",)).columns) == {"window_end", "wmp_mean", "best_bid"}

@@ -44,7 +44,7 @@ class Recipe:
         self.window: dict[str, Column] = {}
         self.out: dict[str, Column] = {}
 
-    def _wants(self, *names: str | None) -> bool:
+    def wants(self, *names: str | None) -> bool:
         return not self.only or not self.only.isdisjoint(names)
 
     def _both(self, name: str, pane: Column, window) -> Column:
@@ -53,28 +53,28 @@ class Recipe:
         return F.col(f"`_{name}`")
 
     def sum(self, name: str, x: Column) -> None:
-        if not self._wants(name):
+        if not self.wants(name):
             return
         self.out[name] = F.coalesce(self._both(name, F.sum(x), F.sum), F.lit(0.0))
 
     def rows(self, name: str, where: Column | None = None) -> None:
-        if not self._wants(name):
+        if not self.wants(name):
             return
         self.out[name] = F.coalesce(self._both(name, S.rows(where), F.sum), F.lit(0))
 
     def low(self, name: str, x: Column) -> None:
-        if not self._wants(name):
+        if not self.wants(name):
             return
         self.out[name] = self._both(name, F.min(x), F.min)
 
     def high(self, name: str, x: Column) -> None:
-        if not self._wants(name):
+        if not self.wants(name):
             return
         self.out[name] = self._both(name, F.max(x), F.max)
 
     def edge(self, name: str, x: Column, order: Column, last: bool, where: Column | None = None) -> None:
         """The value of the first or last row; panes come one after another, so rows are ordered in panes only."""
-        if not self._wants(name):
+        if not self.wants(name):
             return
         by = F.max_by if last else F.min_by
         at = f"_at_{name}"
@@ -108,7 +108,7 @@ class Recipe:
         return c("n"), sums, still
 
     def spread(self, name: str, x: Column, mean: str | None, std: str | None, skew: str | None = None, kurtosis: str | None = None) -> None:
-        if not self._wants(mean, std, skew, kurtosis):
+        if not self.wants(mean, std, skew, kurtosis):
             return
         n, m, still = self._moments(name, x, 4 if skew else 2)
         if mean:
@@ -121,7 +121,7 @@ class Recipe:
 
     def corr(self, name: str, a: Column, b: Column, age: bool = False) -> None:
         """Pearson correlation of a and b over rows that have both; with the window's end minus the time as b, if asked."""
-        if not self._wants(name):
+        if not self.wants(name):
             return
         both = a.isNotNull() & b.isNotNull()
         x, y, p = F.when(both, a), F.when(both, b), f"r_{name}"
@@ -152,7 +152,7 @@ class Recipe:
     def gaps(self, label: str, suffix: str, prev: Column, where: Column | None = None) -> None:
         """Mean, deviation, extremes of the time since the previous row, where that lies in the window."""
         names = [f"rate_{n}_ms{suffix}" for n in ("mean", "std", "max", "min")]
-        if not self._wants(*names):
+        if not self.wants(*names):
             return
         gap = S.given(F.col(self.time) - prev, where)
         p = f"g_{label}"
@@ -173,7 +173,7 @@ class Recipe:
 
     def moved(self, name: str, prev: Column, test: Column) -> None:
         """Rows that pass the test against their previous row, where that lies in the window."""
-        if not self._wants(name):
+        if not self.wants(name):
             return
         inside, head = self._head(name, prev, F.when(test, 1).otherwise(0))
         self.pane[f"_{name}"] = F.count_if(inside & test)
@@ -182,7 +182,7 @@ class Recipe:
 
     def value(self, name: str, of: str, lists: dict[str, Column], take, none: Column | None = None) -> None:
         """What is taken of all values of the window in order, out of the lists of several populations."""
-        if not self._wants(name):
+        if not self.wants(name):
             return
         self.lists |= {f"_l_{k}": v for k, v in lists.items()}
         self.sorted[f"_o_{of}"] = [f"_l_{k}" for k in lists]
@@ -224,4 +224,4 @@ def combine(rows: DataFrame, recipe: Recipe, keys: Sequence[str] = ()) -> DataFr
     each = each.select(*own, "_day", *kept, *[v.alias(n) for n, v in recipe.values.items()])
     each = each.withColumn("_panes", F.explode("_panes")).select(*own, "_day", "window_end", *[F.col(f"`{c}`") for c in (*recipe.centres, *recipe.values)], "_panes.*")
     got = each.groupBy(*own, "_day", "window_end").agg(*[v.alias(n) for n, v in recipe.window.items()])
-    return got.select(*own, "window_end", *[v.alias(n) for n, v in recipe.out.items()])
+    return got.select(*own, "window_end", *[v.alias(n) for n, v in recipe.out.items() if recipe.wants(n)])

@@ -81,3 +81,17 @@ def test_only_what_is_asked_for(spark, sf, interval):
     feed = fixtures.trade_feed(spark, sf)
     assert set(trades.aggregate(feed, interval, ["flow", "core"], only=("price_mean_buy", "count_sell")).columns) == {"window_end", "price_mean_buy", "count_sell"}
     assert set(book.aggregate(fixtures.book_rows(spark, sf), interval, only=("wmp_mean",), lasts=("best_bid",)).columns) == {"window_end", "wmp_mean", "best_bid"}
+
+
+@pytest.mark.parametrize(("name", "column"), [("trades_all_1d", "turnover")])
+def test_rows_are_shuffled_slim(spark, sf, name, column):
+    """Raw rows are dealt out before features, turnover and neighbours are worked out; only aggregates hold them after that."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    try:
+        lines = registry.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    at = [i for i, s in enumerate(lines) if "Exchange hashpartitioning(_piece" in s]
+    assert at
+    for i in at:
+        assert "Project [" in lines[i + 1] and f"AS {column}#" not in lines[i + 1] and "struct(" not in lines[i + 1] and f" {column}#" not in lines[i + 1], lines[i + 1][:300]

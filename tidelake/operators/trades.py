@@ -32,10 +32,10 @@ def prepare(trades: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     counts only if it lies in the window too, which is what a difference within
     the window's rows says.
     """
-    out = trades if "turnover" in trades.columns else trades.withColumn("turnover", F.col("price") * F.col("size"))
     t = F.col("created_time")
     before = {"_prev": F.struct(t.alias("t"), F.col("price").alias("p")), **{f"_prev_{s}": F.when(_is(s), t) for s in POPULATIONS[1:]}}
-    got = W.with_previous(out, "created_time", ["created_time", "trade_id"], before, keys)
+    got = W.with_previous(trades, "created_time", ["created_time", "trade_id"], before, keys)
+    got = got if "turnover" in got.columns else got.withColumn("turnover", F.col("price") * F.col("size"))
     return got.withColumns({"_prev_t": F.col("_prev.t"), "_prev_p": F.col("_prev.p")}).drop("_prev")
 
 

@@ -58,11 +58,13 @@ def with_previous(df: DataFrame, time: str, order: Sequence[str], values: dict[s
     """Adds under each name the latest value that isn't null of the rows before by ``order`` (which begins with the time).
 
     No task orders the whole series: rows are ordered within pieces of time, and what a piece ends
-    with is carried to the next ones over a table of one row a piece.
+    with is carried to the next ones over a table of one row a piece.  Rows are dealt out by piece before
+    the values are worked out, so the shuffle holds the given columns only.
     """
     piece = F.floor(F.col(time) / F.lit(chunk))
     within = Window.partitionBy(*keys, "_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.withColumn("_piece", piece).withColumns({n: F.last(v, ignorenulls=True).over(within) for n, v in values.items()})
+    dealt = df.withColumn("_piece", piece).repartition(*keys, "_piece")
+    rows = dealt.withColumns({n: F.last(v, ignorenulls=True).over(within) for n, v in values.items()})
     last = [F.max_by(v, F.when(v.isNotNull(), F.struct(*order))).alias(f"_of{k}") for k, v in enumerate(values.values())]
     ends = df.groupBy(*keys, piece.alias("_piece")).agg(*last)
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)

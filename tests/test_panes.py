@@ -83,7 +83,7 @@ def test_only_what_is_asked_for(spark, sf, interval):
     assert set(book.aggregate(fixtures.book_rows(spark, sf), interval, only=("wmp_mean",), lasts=("best_bid",)).columns) == {"window_end", "wmp_mean", "best_bid"}
 
 
-@pytest.mark.parametrize(("name", "column"), [("trades_all_1d", "turnover")])
+@pytest.mark.parametrize(("name", "column"), [("book_metrics_1d", "weighted_mid_price"), ("book_metrics_5m", "best_bid"), ("trades_all_1d", "turnover")])
 def test_rows_are_shuffled_slim(spark, sf, name, column):
     """Raw rows are dealt out before features, turnover and neighbours are worked out; only aggregates hold them after that."""
     spark.conf.set("spark.sql.debug.maxToStringFields", 1000)

@@ -134,15 +134,17 @@ def aggregate(book: DataFrame, interval: str, keys: Sequence[str] = (), step: in
     """Keys, window_end and 77 metrics; from raw snapshots or from rows of features().
 
     ``only`` names the metrics that are wanted (then the others are not worked out), ``lasts`` feature columns whose
-    last value in the window is wanted too.  Windows of several steps come from panes.
+    last value in the window is wanted too.  Windows of several steps come from panes.  A column _prev_t, the time of
+    the snapshot before, is taken as it is; rows without it are ordered here, with all their features.
     """
     size = to_ms(interval)
     rows = book if "weighted_mid_price" in book.columns else features(book)
     tied = "seq" in rows.columns
-    rows = rows.withColumns({"_first": F.struct("ts", "seq") if tied else F.col("ts"), "_last": F.struct("ts", -F.col("seq")) if tied else F.col("ts")})
     names = list(only) or list(recipe(size, step).out)
     before = ["ts", *(["seq"] if tied else [])]
-    rows = W.with_previous(rows, "ts", before, {"_prev_t": F.col("ts")}, keys) if any(n.startswith("rate_") for n in names) else rows.withColumn("_prev_t", F.lit(None).cast("long"))
+    if "_prev_t" not in rows.columns:
+        rows = W.with_previous(rows, "ts", before, {"_prev_t": F.col("ts")}, keys) if any(n.startswith("rate_") for n in names) else rows.withColumn("_prev_t", F.lit(None).cast("long"))
+    rows = rows.withColumns({"_first": F.struct("ts", "seq") if tied else F.col("ts"), "_last": F.struct("ts", -F.col("seq")) if tied else F.col("ts")})
     if P.suits(size, step):
         r = recipe(size, step, [*names, *lasts])
         for n in lasts:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelake.functions import stats as S
 from tidelake.operators import book, gold, klines, trades
+from tidelake.operators import windows as W
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,8 +28,8 @@ def trade_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def book_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sixty levels a side, as JSON text."""
+def book_feed(spark: SparkSession, sf_dir: str, before: bool = False) -> DataFrame:
+    """Sixty levels a side, as JSON text; with the time of the snapshot before, if asked, found while rows are slim."""
 
     def side(price, qty) -> F.Column:
         return F.to_json(F.transform(F.sequence(F.lit(0), F.lit(59)), lambda i: F.array(price(i).cast("string"), qty(i).cast("string"))))
@@ -38,14 +39,19 @@ def book_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     asks = side(lambda i: F.lit(1000.0) + v + F.lit(0.1) * (i + 1) + F.lit(0.05) * (e % 7), lambda i: F.lit(1) + (e * 5 + i * 2) % 13)
     action = F.when(F.col("event_type") == "error", "update").otherwise("snapshot")
     # the table is one small file; sixty levels a row are made and parsed by all cores
-    spread = events(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
-    return spread.select(F.col("ms").alias("ts"), F.col("event_id").alias("seq"), action.alias("action"), asks.alias("asks"), bids.alias("bids"))
+    rows = events(spark, sf_dir).select("event_id", "event_type", "value", "ms")
+    if before:
+        spread = W.with_previous(rows, "ms", ["ms", "event_id"], {"_prev_t": F.when(action == "snapshot", F.col("ms"))})
+    else:
+        spread = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
+    return spread.select(F.col("ms").alias("ts"), F.col("event_id").alias("seq"), action.alias("action"), asks.alias("asks"), bids.alias("bids"), *(["_prev_t"] if before else []))
 
 
-def book_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def book_rows(spark: SparkSession, sf_dir: str, before: bool = False) -> DataFrame:
     """Features of the snapshots, rounded, so that equal values are equal whatever the order of summation."""
-    f = book.features(book_feed(spark, sf_dir))
-    return f.select("ts", "seq", *[F.round(S.col(c), 9).alias(c) for c in f.columns if c not in ("ts", "seq")])
+    f = book.features(book_feed(spark, sf_dir, before))
+    plain = ["ts", "seq", *(["_prev_t"] if before else [])]
+    return f.select(*plain, *[F.round(S.col(c), 9).alias(c) for c in f.columns if c not in plain])
 
 
 def kline_feed(spark: SparkSession, sf_dir: str, kind: str = "index") -> DataFrame:

@@ -48,7 +48,7 @@ for _i in ("5m", "15m", "1h", "4h", "1d"):
 
 register("book_features", lambda spark, sf: X.book_rows(spark, sf), f"WITH {O.BOOK} SELECT ts, {', '.join(f'{O.r(c)} AS {c}' for c in O.KERNEL)} FROM book")
 for _i in ("5m", "15m", "1h", "4h", "1d"):
-    register(f"book_metrics_{_i}", lambda spark, sf, i=_i: book.aggregate(X.book_rows(spark, sf), i), O.book_windows(_i))
+    register(f"book_metrics_{_i}", lambda spark, sf, i=_i: book.aggregate(X.book_rows(spark, sf, before=True), i), O.book_windows(_i))
 
 _OHLC = "open_time, " + ", ".join(f"{O.r(c)} AS {c}" for c in ("open", "high", "low", "close"))
 register("klines_1m", lambda spark, sf: X.kline_feed(spark, sf), f"WITH {O.INDEX} SELECT {_OHLC} FROM idx")

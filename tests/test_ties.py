@@ -38,3 +38,8 @@ def test_rows_of_one_time_against_duckdb(spark, sf, tmp_path, name):
     theirs = {r[names.index("window_end")]: r for r in cur.fetchall()}
     ours = {r["window_end"]: [r[n] for n in names] for r in df.select(*[S.q(n) for n in names]).collect()}
     assert ours.keys() == theirs.keys() and all(near(a, b) for k in ours for a, b in zip(ours[k], theirs[k], strict=True))
+
+
+@pytest.mark.parametrize("name", ["derive_kaufman_ext", "derive_vwap_ext", "derive_logret_long", "derive_momentum_long", "derive_orderflow_ext_long", "diamond_nonnull", "labels_cat", "labels_multi", "labels_optimal"])
+def test_more_rows_of_one_time_against_duckdb(spark, sf, tmp_path, name):
+    test_rows_of_one_time_against_duckdb(spark, sf, tmp_path, name)

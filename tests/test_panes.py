@@ -95,3 +95,25 @@ def test_rows_are_shuffled_slim(spark, sf, name, column):
     assert at
     for i in at:
         assert "Project [" in lines[i + 1] and f"AS {column}#" not in lines[i + 1] and "struct(" not in lines[i + 1] and f" {column}#" not in lines[i + 1], lines[i + 1][:300]
+
+
+def test_snapshots_of_a_pane_are_dealt_to_one_task(spark, sf):
+    """So each pane is one row in the shuffle of panes, however many tasks there are."""
+    rows = fixtures.book_feed(spark, sf).select(F.spark_partition_id().alias("p"), W.pane_of(F.col("ts")).alias("pane"))
+    tasks, panes, pairs = rows.agg(F.countDistinct("p"), F.countDistinct("pane"), F.countDistinct("p", "pane")).first()
+    assert tasks > 1 and pairs == panes
+
+
+@pytest.mark.parametrize("name", ["diamond_dataset_15m", "diamond_dataset_1h"])
+def test_snapshots_are_dealt_out_once_for_all_intervals(spark, sf, name):
+    df = registry.QUERIES[name](spark, sf)
+    df.collect()
+    lines = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].split("\n")
+    assert sum("Exchange hashpartitioning" in s and "REPARTITION_BY_NUM" in s and "ReusedExchange" not in s for s in lines) == 1
+
+
+def test_five_minutes_without_a_time_have_no_window(spark):
+    at = spark.createDataFrame([(1, "buy", None, 1.0, 1.0), (2, "buy", 10, 1.0, 1.0)], "trade_id long, side string, created_time long, price double, size double")
+    assert [r[0] for r in trades.aggregate(at, "5m", ["flow"]).select("window_end").collect()] == [5 * M]
+    snaps = at.select(F.col("created_time").alias("ts"), *[F.col("price").alias(n) for n in book.FEATURES])
+    assert [r[0] for r in book.aggregate(snaps, "5m").select("window_end").collect()] == [5 * M]

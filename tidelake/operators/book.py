@@ -138,7 +138,7 @@ def aggregate(book: DataFrame, interval: str, keys: Sequence[str] = (), step: in
     the snapshot before, is taken as it is; rows without it are ordered here, with all their features.
     """
     size = to_ms(interval)
-    rows = book if "weighted_mid_price" in book.columns else features(book)
+    rows = (book if "weighted_mid_price" in book.columns else features(book)).where(F.col("ts").isNotNull())
     tied = "seq" in rows.columns
     names = list(only) or list(recipe(size, step).out)
     before = ["ts", *(["seq"] if tied else [])]
@@ -150,5 +150,6 @@ def aggregate(book: DataFrame, interval: str, keys: Sequence[str] = (), step: in
         for n in lasts:
             r.edge(n, F.col(n), F.col("_last"), True)
         return P.combine(rows, r, keys)
-    spread = W.on_source_days(W.spread(rows, "ts", size, step), W.source_days(rows, "ts", keys), keys)
+    spread = W.spread(rows, "ts", size, step)
+    spread = spread if W.in_own_day(size, step) else W.on_source_days(spread, W.source_days(rows, "ts", keys), keys)
     return spread.groupBy(*keys, "window_end").agg(*metrics(size), *[F.max_by(n, "_last").alias(n) for n in lasts]).select(*keys, "window_end", *[S.col(n) for n in (*names, *lasts)])

@@ -164,10 +164,11 @@ def aggregate(trades: DataFrame, interval: str, groups: Iterable[str] = GROUPS,
     size = to_ms(interval)
     groups = list(groups)
     ready = prepare(trades, keys) if {"ticks", "rate"} & set(groups) else trades if "turnover" in trades.columns else trades.withColumn("turnover", F.col("price") * F.col("size"))
+    ready = ready.where(F.col("created_time").isNotNull())
     if P.suits(size, step):
         return P.combine(ready, recipe(size, step, groups, only), keys)
     spread = W.spread(ready, "created_time", size, step)
-    spread = W.on_source_days(spread, W.source_days(trades, "created_time", keys), keys)
+    spread = spread if W.in_own_day(size, step) else W.on_source_days(spread, W.source_days(trades, "created_time", keys), keys)
     got = spread.groupBy(*keys, "window_end").agg(*metrics(size, groups))
     return got.select(*keys, "window_end", *[S.col(n) for n in only]) if only else got
 

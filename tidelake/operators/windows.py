@@ -39,6 +39,11 @@ def on_source_days(windows: DataFrame, days: DataFrame, keys: Sequence[str] = ()
     return marked.join(days, [*keys, "_day"], "left_semi").drop("_day")
 
 
+def in_own_day(size: int, step: int) -> bool:
+    """Windows of one step that days are made of: each lies in the day of its rows, so all of them are made."""
+    return size == step and DAY_MS % step == 0
+
+
 def window_grid(days: DataFrame, keys: Sequence[str] = (), step: int = STEP_MS) -> DataFrame:
     """All window ends of the given days."""
     start = F.col("_day") * DAY_MS

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.functions import stats as S
+from tidelake.functions.intervals import STEP_MS
 from tidelake.operators import book, gold, klines, trades
 from tidelake.operators import windows as W
 
@@ -38,12 +39,13 @@ def book_feed(spark: SparkSession, sf_dir: str, before: bool = False) -> DataFra
     bids = side(lambda i: F.lit(1000.0) + v - F.lit(0.1) * (i + 1), lambda i: F.lit(1) + (e * 7 + i * 3) % 11)
     asks = side(lambda i: F.lit(1000.0) + v + F.lit(0.1) * (i + 1) + F.lit(0.05) * (e % 7), lambda i: F.lit(1) + (e * 5 + i * 2) % 13)
     action = F.when(F.col("event_type") == "error", "update").otherwise("snapshot")
-    # the table is one small file; sixty levels a row are made and parsed by all cores
+    # the table is one small file; sixty levels a row are made and parsed by all cores, the rows of a pane by one, so that
+    # what is aggregated is a row a pane, not one for each pane and task; that is a small shuffle, which all intervals share
     rows = events(spark, sf_dir).select("event_id", "event_type", "value", "ms")
     if before:
         spread = W.with_previous(rows, "ms", ["ms", "event_id"], {"_prev_t": F.when(action == "snapshot", F.col("ms"))})
     else:
-        spread = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "event_id")
+        spread = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.floor(F.col("ms") / F.lit(STEP_MS)))
     return spread.select(F.col("ms").alias("ts"), F.col("event_id").alias("seq"), action.alias("action"), asks.alias("asks"), bids.alias("bids"), *(["_prev_t"] if before else []))
 
 

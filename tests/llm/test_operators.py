@@ -183,6 +183,28 @@ def test_encoder_is_the_tokenizer():
         assert e.encode(t) == np.asarray(e.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_unknown_words_of_many_texts_are_encoded_together(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 300)  # the memory is renewed on the way
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdeéß'1.") for _ in range(r.randint(1, 9))) for _ in range(900)]
+    texts = [" ".join(r.choice(words) for _ in range(40)) for _ in range(60)] + ["", "x<|endoftext|>y zz", "a" * 200 + " " + "b" * 200, "日本 ab", " ab  ab"]
+    e = packing.Encoder(packing.tokenizer_path())
+    given, tok = [], e.tok
+
+    class Counted:
+        def encode_batch_fast(self, some, **kw):
+            given.extend(some)
+            return tok.encode_batch_fast(some, **kw)
+
+    e.tok = Counted()
+    want = [np.asarray(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    rows = packing._together(range(len(texts)), texts)
+    assert [ids for _, some in rows for ids in e.encode_all(some)] == want
+    plain = {w for t in texts[:60] for w in packing._PRE.findall(t) if packing._WORD.fullmatch(w)}
+    assert len(plain) > 100 and not plain & set(given)
+    assert [ids for t in texts for ids in e.encode_all([t])] == want
+
+
 # 3
 def spark_hash(parts):
     h = 42

@@ -40,13 +40,18 @@ CACHE_WORDS = 400_000
 
 #: Longer chunks are encoded anew each time.
 CACHE_CHARS = 64
+#: Characters of text whose unknown pre-tokens are encoded together, about, and words encoded as one text.
+TOGETHER = 1 << 18
+JOINED = 1000
 
 # The byte-level pre-tokeniser's rule (public); on texts of Latin letters these classes say what its classes say.
 _LETTER = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _DIGIT = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0"
-_PRE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^{_SPACE}{_LETTER}{_DIGIT}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+# Letters come first, as most are: nothing that begins with them or a space and them fits the rule's endings.
+_PRE = re.compile(f" ?[{_LETTER}]+|'(?:[stmd]|re|ve|ll)| ?[{_DIGIT}]+| ?[^{_SPACE}{_LETTER}{_DIGIT}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _ODD = re.compile(f"[^{_SPACE}\x21-\x7e\u00a1-\u024f]")
+_WORD = re.compile(f" [{_LETTER}]{{1,{CACHE_CHARS - 1}}}")
 # Other texts are cut before a space between two characters that are no white space: by that rule a pre-token
 # begins there whatever stands around it, so the ids of the chunks, one after another, are the ids of the text.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -67,32 +72,78 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        vocab = self.tok.get_vocab(with_added_tokens=False)
+        self.sizes = np.zeros(max(vocab.values(), default=0) + 1, np.int64)  # bytes of text in each id: a byte-level token has a character for each
+        for token, k in vocab.items():
+            self.sizes[k] = len(token)
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}  # the last full memory; what is still in use moves back
 
     def encode(self, text: str) -> bytes:
-        parts = _CUT.split(text) if _ODD.search(text) or any(s in text for s in self.special) else _PRE.findall(text)
-        try:
-            return b"".join([self.known[p] for p in parts])
-        except KeyError:
-            long = self.learn(parts)
-            out = b"".join([self.known[p] for p in parts])
-            for p in long:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; pre-tokens that are not known yet are encoded together, whichever text they are of."""
+        found: list[list] = []
+        gaps: list[tuple[list, list[str], list[int]]] = []  # whose ids, pre-tokens, and places where those are not known
+        new: set[str] = set()
+        for text in texts:
+            parts = _CUT.split(text) if _ODD.search(text) or any(s in text for s in self.special) else _PRE.findall(text)
+            got = [*map(self.known.get, parts)]
+            if missing := got.count(None):
+                at, k = [], -1
+                for _ in range(missing):
+                    k = got.index(None, k + 1)
+                    at.append(k)
+                new.update([parts[k] for k in at])
+                gaps.append((got, parts, at))
+            found.append(got)
+        if new:
+            learnt = self.learn(new)
+            for got, parts, at in gaps:
+                for k in at:
+                    got[k] = learnt[parts[k]]
+        return [b"".join(got) for got in found]
+
+    def learn(self, new: set[str]) -> dict[str, bytes]:
+        """The ids of parts that are not known; those that are not too long are known from now on."""
+        out: dict[str, bytes] = {}
+        words, rest = [], []
+        for p in new:
+            if (ids := self.before.get(p)) is not None:
+                out[p] = ids
+            else:
+                (words if _WORD.fullmatch(p) else rest).append(p)
+        for k in range(0, len(words), JOINED):
+            some = words[k : k + JOINED]
+            if ids := self._joined(some):
+                out |= ids
+            else:
+                rest += some
+        for p, e in zip(rest, self.tok.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            out[p] = array("I", e.ids).tobytes()
+        if len(self.known) + len(out) > CACHE_WORDS:
+            self.known, self.before = {}, self.known
+        self.known |= out
+        for p in rest:
+            if len(p) > CACHE_CHARS:
                 del self.known[p]
-            return out
-
-    def learn(self, parts: list[str]) -> list[str]:
-        """Makes all parts known; returns those that are too long to stay so."""
-        new = {p for p in parts if p not in self.known}
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known, self.before, new = {}, self.known, set(parts)
-        for p in [p for p in new if p in self.before]:
-            self.known[p] = self.before[p]
-            new.discard(p)
-        fresh = list(new)
-        for p, e in zip(fresh, self.tok.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.known[p] = array("I", e.ids).tobytes()
-        return [p for p in fresh if len(p) > CACHE_CHARS]
+        return out
+
+    def _joined(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words that begin with a space and go on with letters: in one text each is a pre-token again, and its
+        ids are those whose bytes it spans.  None where the ids don't end with the words."""
+        text = "".join(words)
+        if any(s in text for s in self.special):
+            return {}
+        ids = np.asarray(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum(self.sizes[ids])
+        words_end = np.cumsum([len(w.encode()) for w in words])
+        at = np.searchsorted(ends, words_end)
+        if not len(ids) or at[-1] != len(ids) - 1 or (ends[at] != words_end).any():
+            return {}
+        raw, at = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+        return {w: raw[i:j] for w, i, j in zip(words, at[:-1], at[1:], strict=True)}
 
 
 _encoders: dict[str, Encoder] = {}
@@ -104,6 +155,20 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def _together(docs: pd.Series, texts: pd.Series) -> Iterator[tuple[list, list[str]]]:
+    """Rows in groups of some TOGETHER characters, one row at least; a null text is empty."""
+    ids, some, size = [], [], 0
+    for doc, t in zip(docs, texts, strict=True):
+        ids.append(doc)
+        some.append(t or "")
+        size += len(some[-1])
+        if size >= TOGETHER:
+            yield ids, some
+            ids, some, size = [], [], 0
+    if some:
+        yield ids, some
+
+
 def tokenize(docs: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """One row for each piece: doc_id, piece, start, length, ids_crc32 (and ids).
 
@@ -120,14 +185,15 @@ def tokenize(docs: DataFrame, text: str = "text", path: str | None = None, capac
         enc = encoder(path)
         for b in batches:
             rows: list[tuple] = []
-            for doc, t in zip(b["doc_id"], b["text"], strict=True):
-                raw = enc.encode(t or "") + end
-                first = len(raw) % step or step
-                at, k = 0, 0
-                while at < len(raw):
-                    piece = raw[at : first if not k else at + step]
-                    rows.append((doc, k, at // 4, len(piece) // 4, zlib.crc32(piece), *([np.frombuffer(piece, "<u4").astype(np.int32)] if with_ids else [])))
-                    at, k = at + len(piece), k + 1
+            for docs, texts in _together(b["doc_id"], b["text"]):
+                for doc, ids in zip(docs, enc.encode_all(texts), strict=True):
+                    raw = ids + end
+                    first = len(raw) % step or step
+                    at, k = 0, 0
+                    while at < len(raw):
+                        piece = raw[at : first if not k else at + step]
+                        rows.append((doc, k, at // 4, len(piece) // 4, zlib.crc32(piece), *([np.frombuffer(piece, "<u4").astype(np.int32)] if with_ids else [])))
+                        at, k = at + len(piece), k + 1
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelake.functions.intervals import to_ms
-from tidelake.operators import book, trades
+from tidelake.operators import book, klines, trades
 from tidelake.operators import windows as W
 from tidelake.plans import fixtures, registry
 
@@ -117,3 +117,48 @@ def test_five_minutes_without_a_time_have_no_window(spark):
     assert [r[0] for r in trades.aggregate(at, "5m", ["flow"]).select("window_end").collect()] == [5 * M]
     snaps = at.select(F.col("created_time").alias("ts"), *[F.col("price").alias(n) for n in book.FEATURES])
     assert [r[0] for r in book.aggregate(snaps, "5m").select("window_end").collect()] == [5 * M]
+
+
+@pytest.mark.parametrize("interval", ["5m", "15m", "1d"])
+@pytest.mark.parametrize("candle", [M, 7 * M])
+def test_candles_equal_windows_of_copied_rows(spark, interval, candle):
+    """Also where the only candle of a day closes on the next, which has none, and where closes are no finite numbers."""
+    r, day = random.Random(4), 24 * 60 * M
+    opens = sorted({x // candle * candle for d in (0, 1, 4) for x in (r.randrange(d * day, d * day + day) for _ in range(150))} | {7 * day - candle, 9 * day, 12 * day - candle, 12 * day})
+    price = lambda: r.choice([None, 5.0, 5.0, float("nan"), float("inf"), *[1e4 + x / 100 for x in range(60)]])
+    rows = [(g, t, *(price() for _ in range(4))) for g in "ab" for t in opens if g == "a" or t < 9 * day]
+    df = spark.createDataFrame([*rows, ("b", None, 1.0, 1.0, 1.0, 1.0)], "g string, open_time long, open double, high double, low double, close double")
+    at = df.withColumn("close_time", F.col("open_time") + F.lit(candle))
+    plain = W.on_source_days(W.spread(at, "close_time", to_ms(interval)), W.source_days(df, "open_time", ["g"]), ["g"]).groupBy("g", "window_end").agg(*klines.metrics()).where("open is not null")
+    got = klines.aggregate(df, interval, ["g"], candle=candle)
+    assert got.columns == plain.columns
+    odd = lambda c: F.isnan(c) | (F.abs(c) == float("inf"))
+    text = lambda x: x.select("g", "window_end", *[F.when(~odd(c), F.col(c)).alias(c) for c in klines.NAMES], *[F.when(odd(c), F.col(c).cast("string")).alias(f"{c}_odd") for c in klines.NAMES])
+    got, plain = text(got), text(plain)
+    agree(got, plain, plain.columns)
+
+
+def written(plan) -> int:
+    """Rows that the exchanges of a plan that ran have written, those that are used again once."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return written(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return written(plan.plan())
+    if kind == "ReusedExchangeExec":
+        return 0
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(written(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+@pytest.mark.parametrize("name", ["klines_1d", "diamond_dataset_15m"])
+def test_no_copied_candle_is_shuffled(spark, sf, name):
+    """Not even where no table is broadcast: whether a small table is ready in time must not decide what is written."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = registry.QUERIES[name](spark, sf)
+        df.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    candles = registry.QUERIES["klines_1m"](spark, sf).count()
+    assert written(df._jdf.queryExecution().executedPlan()) < 288 * candles

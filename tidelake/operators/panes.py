@@ -31,11 +31,12 @@ def _sum(x: Column) -> Column:
 class Recipe:
     """What to take of each pane (over rows with ``_pane``), of its windows (over panes with ``window_end``), and from that.
 
-    Metrics that are not among ``only`` are left out.
+    Metrics that are not among ``only`` are left out.  ``source`` is the time that says which days have rows, where
+    that is not ``time``.
     """
 
-    def __init__(self, time: str, size: int, step: int, only: Sequence[str] = ()):
-        self.time, self.size, self.step, self.only = time, size, step, set(only)
+    def __init__(self, time: str, size: int, step: int, only: Sequence[str] = (), source: str | None = None):
+        self.time, self.size, self.step, self.only, self.source = time, size, step, set(only), source
         self.pane: dict[str, Column] = {}
         self.centres: dict[str, tuple[str, Column]] = {}  # means over a window, from a pane's counts and means
         self.lists: dict[str, Column] = {}  # values a pane lists
@@ -100,9 +101,10 @@ class Recipe:
             m4 = F.coalesce(F.col(f"`_{p}_k`") + 3, F.lit(0.0)) * m2 * v
             self.window |= {f"_{p}_3": _sum(m3 + 3 * d * m2 + n * d * d * d), f"_{p}_4": _sum(m4 + 4 * d * m3 + 6 * d * d * m2 + n * d * d * d * d)}
         c = lambda k: F.col(f"`_{p}_{k}`")
-        still = c("lo") == c("hi")
+        finite = lambda x: x - x == 0
+        still = (c("lo") == c("hi")) & finite(c("lo"))
         e = F.try_divide(c(1), c("n"))
-        sums = [F.when(c("n") > 0, c("c") + e), F.when(still, F.lit(0.0)).otherwise(F.greatest(c(2) - c(1) * e, F.lit(0.0)))]
+        sums = [F.when(c("n") > 0, F.when(finite(c("c")), c("c") + e).otherwise(c("c"))), F.when(still, F.lit(0.0)).otherwise(F.greatest(c(2) - c(1) * e, F.lit(0.0)))]
         if most > 2:
             sums += [c(3) - 3 * e * c(2) + 2 * c("n") * e * e * e, c(4) - 4 * e * c(3) + 6 * e * e * c(2) - 3 * c("n") * e * e * e * e]
         return c("n"), sums, still
@@ -201,13 +203,18 @@ def combine(rows: DataFrame, recipe: Recipe, keys: Sequence[str] = ()) -> DataFr
     size, step = recipe.size, recipe.step
     own = [F.col(k) for k in keys]
     lists = [F.collect_list(v).alias(n) for n, v in recipe.lists.items()]
-    panes = rows.withColumn("_pane", W.pane_of(F.col(recipe.time), step)).groupBy(*own, "_pane").agg(*[v.alias(n) for n, v in recipe.pane.items()], *lists)
     day = lambda end: F.floor((end - 1) / F.lit(DAY_MS))
     p, first, last = F.col("_pane"), F.col("_day") * DAY_MS + F.lit(step), F.col("_day") * DAY_MS + F.lit(DAY_MS)
-    each = panes.withColumn("_day", F.explode(F.sequence(day(p), day(p + F.lit(size - step))))).repartition(*own, F.col("_day"))
+    begins, ends, live, sources = day(p), day(p + F.lit(size - step)), day(p) == F.col("_day"), []
+    if recipe.source:  # a pane's rows are of two such days at most; it goes to these days too, to say that they have rows
+        at = F.floor(F.col(recipe.source) / F.lit(DAY_MS))
+        sources = [F.min(at).alias("_d0"), F.max(at).alias("_d1")]
+        begins, ends, live = F.least(begins, F.col("_d0")), F.greatest(ends, F.col("_d1")), F.col("_day").isin(F.col("_d0"), F.col("_d1"))
+    panes = rows.withColumn("_pane", W.pane_of(F.col(recipe.time), step)).groupBy(*own, "_pane").agg(*[v.alias(n) for n, v in recipe.pane.items()], *sources, *lists)
+    each = panes.withColumn("_day", F.explode(F.sequence(begins, ends))).repartition(*own, F.col("_day"))
     whole = Window.partitionBy(*own, F.col("_day"))
     after = F.lead("_pane").over(whole.orderBy("_pane"))
-    each = each.withColumns({"_live": F.max(day(p) == F.col("_day")).over(whole), "_next": F.coalesce(after, last + F.lit(step))}).where("_live").drop("_live")
+    each = each.withColumns({"_live": F.max(live).over(whole), "_next": F.coalesce(after, last + F.lit(step))}).where("_live").drop("_live")
     # a row a pane, and one for each end after it that no pane has; the last pane before a day has those up to the day's first
     begin, to = F.greatest(p + F.lit(step), first), F.least(F.col("_next") - F.lit(step), p + F.lit(size - step), last)
     more = F.when(to >= begin, F.sequence(begin, to, F.lit(step))).otherwise(F.array().cast("array<long>"))
@@ -218,7 +225,7 @@ def combine(rows: DataFrame, recipe: Recipe, keys: Sequence[str] = ()) -> DataFr
     held = {"_panes": F.collect_list(here(F.struct(*stats))).over(frame), **{n: F.collect_list(here(F.col(n))).over(frame) for n in recipe.lists}}
     for c, (n, mean) in recipe.centres.items():
         held[c] = F.coalesce(F.try_divide(F.sum(here(F.col(f"`{n}`") * mean)).over(frame), F.sum(here(F.col(f"`{n}`"))).over(frame)), F.lit(0.0))
-    each = each.select(*own, "_day", "window_end", *[v.alias(c) for c, v in held.items()]).where(F.col("window_end") >= first)
+    each = each.select(*own, "_day", "window_end", *[v.alias(c) for c, v in held.items()]).where(F.col("window_end").between(first, last))
     kept = [F.col(f"`{c}`") for c in ("window_end", "_panes", *recipe.centres)]
     each = each.select(*own, "_day", *kept, *[F.sort_array(F.flatten(F.concat(*[F.col(c) for c in cs]))).alias(n) for n, cs in recipe.sorted.items()])
     each = each.select(*own, "_day", *kept, *[v.alias(n) for n, v in recipe.values.items()])

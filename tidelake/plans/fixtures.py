@@ -78,8 +78,8 @@ def gold_base(spark: SparkSession, sf_dir: str, intervals: Sequence[str] = ("5m"
         sources[f"orderbook_{i}_"] = ob
         flow = ("price_mean_trade", "price_std_trade", "price_min_trade", "price_max_trade", "price_last_trade", "volume_buy", "volume_sell", "turnover_buy", "turnover_sell", "count_buy", "count_sell")
         sources[f"trades_{i}_"] = trades.aggregate(feed, i, ["flow", "core"], only=flow)
-        sources[f"index_price_{i}_"] = klines.aggregate(index, i).select("window_end", "close", "mean", "std")
-        sources[f"mark_price_{i}_"] = klines.aggregate(mark, i).select("window_end", "mean")
+        sources[f"index_price_{i}_"] = klines.aggregate(index, i, only=("close", "mean", "std"))
+        sources[f"mark_price_{i}_"] = klines.aggregate(mark, i, only=("mean",))
     sources["funding_"] = funding_feed(spark, sf_dir).withColumn("window_end", F.col("funding_time"))
     wide = gold.merge(sources)
     return gold.forward_fill(wide, ["funding_funding_rate", "funding_funding_time"]) if fill else wide
